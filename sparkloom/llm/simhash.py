@@ -100,10 +100,10 @@ def near_links(fps: DataFrame, n: int, radius: int = 3, cell: int = 2 * CELL) ->
     sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell)
     hot = cut(sizes.withColumn("parts", F.ceil(F.col("n") / cell).cast("int")).drop("n"), "hot")
     joined = keyed.join(hot, ["t", "k"], "left")
-    calm = joined.where("parts is null").select("t", "k", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", F.lit(0).alias("side"))
+    calm = joined.where("parts is null").select("t", "k", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp")
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     busy = joined.where("parts is not null").withColumn("p", part).select("t", "k", "p", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("q"))
-    busy = busy.select("t", "k", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "fp", F.when(F.col("p") <= F.col("q"), 0).otherwise(1).alias("side"))
+    busy = busy.where("p <> q").select("t", "k", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "fp")
     rows = calm.unionByName(busy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,23 +111,23 @@ def near_links(fps: DataFrame, n: int, radius: int = 3, cell: int = 2 * CELL) ->
         held, at = [], None
         for b in batches:
             keys = np.stack([np.asarray(b.column(c)) for c in range(4)], axis=1)
-            fp, side = np.asarray(b.column(4)).view(np.uint64), np.asarray(b.column(5))
+            fp = np.asarray(b.column(4)).view(np.uint64)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(fp)]
             out = []
             for a, z in zip(cuts, cuts[1:], strict=False):
                 if a == z:
                     continue
                 if at is not None and tuple(keys[a]) != at:
-                    out.append(forest(*(np.concatenate(x) for x in zip(*held, strict=True)), radius))
+                    out.append(forest(np.concatenate(held), radius))
                     held = []
                 at = tuple(keys[a])
-                held.append((fp[a:z], side[a:z]))
+                held.append(fp[a:z])
             yield from _links(out)
         if held:
-            yield from _links([forest(*(np.concatenate(x) for x in zip(*held, strict=True)), radius)])
+            yield from _links([forest(np.concatenate(held), radius)])
 
     spread = rows.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
-    return spread.select("t", "k", "i", "j", "fp", "side").mapInArrow(run, "u long, v long")
+    return spread.select("t", "k", "i", "j", "fp").mapInArrow(run, "u long, v long")
 
 
 def _links(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def _links(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(uv[:, 0]), pa.array(uv[:, 1])], names=["u", "v"])
 
 
-def forest(fp: np.ndarray, side: np.ndarray, radius: int) -> np.ndarray:
+def forest(fp: np.ndarray, radius: int) -> np.ndarray:
     """(member, root) rows of the linked classes of one cell, compared tile by tile."""
     if len(fp) < 2:
         return np.empty((0, 2), np.uint64)
