@@ -137,10 +137,10 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, factor: int = 64, id
 
     def plant(key: tuple, table: pa.Table) -> pa.Table:
         tree = build(table["vec_id"].to_numpy(), _matrix(table["v"]))
-        return pa.table({"dim": [key[0].as_py()], "shard": [key[1].as_py()], "tree": pa.array([_pack(**tree)], pa.binary())})
+        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([_pack(**tree)], pa.binary())})
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.table({"dim": [key[0].as_py()], "block": [key[1].as_py()], "block_of": pa.array([_pack(ids=table["vec_id"].to_numpy(), q=_matrix(table["v"]))], pa.binary())})
+        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()), "block_of": pa.array([_pack(ids=table["vec_id"].to_numpy(), q=_matrix(table["v"]))], pa.binary())})
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     trees = cut(dealt.groupBy("dim", "shard").applyInArrow(plant, "dim int, shard int, tree binary"), "trees")
