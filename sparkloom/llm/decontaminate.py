@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.scratch import cut
+from sparkloom.scratch import cut, small_side
 
 UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros percent degree degrees".split())
 TOKENS = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?\n]")
@@ -178,5 +178,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, enough: int =
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    bad = cut(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("bad_id"), F.col("th").alias("bad_th")).distinct(), "leaks")
+    bad = small_side(cut(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("bad_id"), F.col("th").alias("bad_th")).distinct(), "leaks"))
     return docs.join(bad, F.col(id_col).eqNullSafe(F.col("bad_id")) & (F.xxhash64(text_col) == F.col("bad_th")), "left_anti")

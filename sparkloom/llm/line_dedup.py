@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.scratch import cut, drop
+from sparkloom.scratch import cut, drop, small_side
 
 DOC = ["doc_id", "th"]
 
@@ -112,7 +112,7 @@ def _repeats(named: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with later copies of repeated line runs cut out of the text, and ``n_lines`` and ``n_removed`` added."""
     gone = later_copies(docs, min_words, id_col, text_col)
-    runs = cut(gone.groupBy(*DOC).agg(F.sort_array(F.collect_set(F.struct("a", "z"))).alias("gone")), "gone")
+    runs = small_side(cut(gone.groupBy(*DOC).agg(F.sort_array(F.collect_set(F.struct("a", "z"))).alias("gone")), "gone"))
     runs = runs.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"), "gone")
     text = F.col(text_col)
     joined = docs.join(runs, F.col(id_col).eqNullSafe(F.col("gone_id")) & (F.xxhash64(text) == F.col("gone_th")) & text.isNotNull(), "left")

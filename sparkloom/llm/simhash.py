@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.components import connected_components
-from sparkloom.scratch import cut
+from sparkloom.scratch import cut, small_side
 
 CELL = 2048
 TILE = 256
@@ -176,3 +176,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int
     names = joined.groupBy("label").agg(F.min("first").alias("component_id"))
     named = cut(joined.select("fp", "label").join(names, "label").select("fp", "component_id"), "named")
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest id, and one of them where rows repeat that id."""
+    found = cut(near_duplicates(docs, words, radius, seed, id_col, text_col).select("doc_id", "component_id"), "components")
+    gone = small_side(cut(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id")).distinct(), "gone"))
+    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    again = small_side(cut(found.groupBy(F.col("doc_id").alias("again_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again_id"), "again"))
+    if again.isEmpty():
+        return left
+    same = F.col(id_col).eqNullSafe(F.col("again_id"))
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col]))
