@@ -53,5 +53,5 @@ def small_side(table: DataFrame, limit: int = 8 << 20) -> DataFrame:
     """A table made by :func:`cut`, marked for broadcast if its files hold ``limit`` bytes at most; else as it is, for a shuffled join."""
     from pyspark.sql import functions as F
 
-    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(table) if size <= limit else table
