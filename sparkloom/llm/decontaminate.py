@@ -14,7 +14,7 @@ right after a number; a name is a capitalised word that doesn't begin a
 sentence, or does and stands capitalised within another sentence of the text.
 
 Documents are scanned once. While the benchmark's window hashes number at most
-``SIEVE``, a bitmap of them travels to the scan, so only windows that can match
+``SIEVE``, they and the benchmark's tokens travel to the scan, so only windows that can match
 leave it; a larger benchmark joins all windows by shuffle. The results are the same.
 
 Defined cases: null, empty and blank texts match nothing; items without a
@@ -28,33 +28,45 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.scratch import cut, small_side
 
 UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros percent degree degrees".split())
-TOKENS = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[.!?\n]")
+TOKENS = re.compile(r"\d+(?:[.,]\d+)*|\w+|[.!?\n]")
 LITERAL, CAPITAL, NUMBER, UNIT, MARK = range(5)
 SLOT_HASH = {CAPITAL: 0x9E3779B97F4A7C1, NUMBER: 0x7F4A7C15F39CC06, UNIT: 0x2545F4914F6CDD1}
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SIEVE = 1 << 22
-MEMO = 300_000
+MEMO = 500_000
+OTHER = 1 << 3 | LITERAL
 
 
 class Codes(dict):
-    """Token to (hash of its lower-cased form, kind) as one integer."""
+    """Token to (hash of its lower-cased form, kind) as one integer.
+
+    With ``known``, lower-case tokens outside it share one code: no window of
+    the benchmark holds them, so which of them it is makes no difference.
+    """
+
+    def __init__(self, known: frozenset[str] | None = None):
+        super().__init__()
+        self.known = known
 
     def __missing__(self, token: str) -> int:
         if len(self) >= MEMO:
             self.clear()
+        if self.known is not None and token[0].islower() and token not in self.known and token not in UNITS:
+            self[token] = OTHER
+            return OTHER
         low = token.lower()
         kind = MARK if token in ".!?\n" else NUMBER if token[0].isdigit() else UNIT if low in UNITS else CAPITAL if token[0] != low[0] else LITERAL
-        code = self[token] = int.from_bytes(blake2b(low.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 4 << 3 | kind
+        code = self[token] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) >> 4 << 3 | kind
         return code
 
 
@@ -81,9 +93,12 @@ class Template:
         return [(int(i), self.tokens[self.places[at + i]].lower()) for i in np.flatnonzero(self.slots[at : at + n])]
 
 
-def template(text: str | None, codes: Codes) -> Template:
+def template(text: str | None, codes: Codes, least: int = 0) -> Template:
+    """The template of a whole text; an empty one if each run of so many tokens holds one that no benchmark window holds."""
     tokens = TOKENS.findall(text or "")
-    packed = np.array([codes[t] for t in tokens], np.int64)
+    packed = np.array(list(map(codes.__getitem__, tokens)), np.int64)
+    if least and np.diff(np.flatnonzero(packed == OTHER), prepend=-1, append=len(packed)).max() <= least:
+        packed = packed[:0]
     kind = packed & 7
     places = np.flatnonzero(kind != MARK)
     starts = np.concatenate([[True], kind[:-1] == MARK])[places] if len(places) else np.empty(0, bool)
@@ -122,19 +137,30 @@ def benchmark_windows(benchmark: DataFrame, window: int = 10, id_col: str = "ite
 _SLOTS = pa.list_(pa.struct([("p", pa.int32()), ("v", pa.string())]))
 
 
-def document_windows(docs: DataFrame, lengths: list[int], sieve: np.ndarray | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, th, h, doc_at, doc_slots`` of the template windows of every document; with a sieve, only of those whose hash is in it."""
+def benchmark_tokens(benchmark: DataFrame, text_col: str = "text") -> list[str]:
+    """Lower-cased tokens of a benchmark whose size was checked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(sorted({t.lower() for x in b.column(0).to_pylist() for t in TOKENS.findall(x or "")}), pa.string())], names=["t"])
+
+    return [r[0] for r in benchmark.select(text_col).mapInArrow(run, "t string").distinct().collect()]
+
+
+def document_windows(docs: DataFrame, lengths: list[int], sieve: tuple[np.ndarray, frozenset[str]] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, th, h, doc_at, doc_slots`` of the template windows of every document; with a sieve (the benchmark's window hashes and tokens), only of those whose hash is in it."""
     shared = docs.sparkSession.sparkContext.broadcast(sieve)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, hashes = Codes(), shared.value
+        hashes, known = shared.value or (None, None)
+        codes, least = Codes(known), min(lengths, default=0) if known is not None else 0
         if hashes is not None:
             bits = np.zeros(1 << 24, bool)
             bits[(hashes & np.uint64((1 << 24) - 1)).astype(np.int64)] = True
         for b in batches:
             for i in range(len(b)):
-                t, rows = template(b.column(2)[i].as_py(), codes), []
+                t, rows = template(b.column(2)[i].as_py(), codes, least), []
                 for n in lengths:
                     found = t.windows(n)
                     at = np.arange(len(found))
@@ -158,7 +184,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, enough: int =
     lengths = sorted(r[0] for r in items.select("n").distinct().collect())
     sieve = None
     if items.select("h").distinct().count() <= SIEVE:
-        sieve = np.unique(np.array([r[0] for r in items.select("h").distinct().collect()], np.int64).view(np.uint64))
+        hashes = np.unique(np.array([r[0] for r in items.select("h").distinct().collect()], np.int64).view(np.uint64))
+        sieve = hashes, frozenset(benchmark_tokens(benchmark))
     found = cut(document_windows(docs, lengths, sieve, id_col, text_col).distinct(), "windows")
     pairs = found.join(items, "h").withColumn("shift", F.col("doc_at") - F.col("item_at"))
     key = ["doc_id", "th", "item_id", "item_tokens", "shift"]
