@@ -155,18 +155,18 @@ def document_windows(docs: DataFrame, lengths: list[int], sieve: tuple[np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known = shared.value or (None, None)
         codes, least = Codes(known), min(lengths, default=0) if known is not None else 0
-        if hashes is not None:
+        if hashes is not None:  # sorted
             bits = np.zeros(1 << 24, bool)
             bits[(hashes & np.uint64((1 << 24) - 1)).astype(np.int64)] = True
         for b in batches:
             for i in range(len(b)):
                 t, rows = template(b.column(2)[i].as_py(), codes, least), []
-                for n in lengths:
+                for n in lengths if len(t.codes) else ():
                     found = t.windows(n)
                     at = np.arange(len(found))
                     if hashes is not None:
                         at = at[bits[(found & np.uint64((1 << 24) - 1)).astype(np.int64)]]
-                        at = at[np.isin(found[at], hashes)]
+                        at = at[hashes[np.searchsorted(hashes, found[at]) % len(hashes)] == found[at]]
                     rows += [(int(found[k].view(np.int64)), int(k), [{"p": p, "v": v} for p, v in t.values(k, n)]) for k in at]
                 for part in range(0, len(rows), 4096):
                     h, at, slots = zip(*rows[part : part + 4096], strict=True)
