@@ -25,6 +25,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -169,6 +170,12 @@ class Decoder:
         return (joined[1:] if joined[:1] == b" " else joined).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def shared(path: str, n: int) -> tuple[Lattice, Decoder]:
+    """Kept for the life of a worker process, so that its tasks share one memo."""
+    return Lattice(path, n), Decoder(path)
+
+
 def encode(docs: DataFrame, path: str | None = None, n: int = 4, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """``doc_id, ids, n_tokens, scores, sizes, round_trip``: the best segmentation, score and tokens of the N best, and whether decoding gives the text back."""
     path = path or pieces.model_path()
@@ -177,7 +184,7 @@ def encode(docs: DataFrame, path: str | None = None, n: int = 4, id_col: str = "
     types = {"doc_id": kind, "ids": "array<int>", "n_tokens": "long", "scores": "array<double>", "sizes": "array<long>", "round_trip": "boolean"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, decoder = Lattice(path, n), Decoder(path)
+        lattice, decoder = shared(path, n)
         for b in batches:
             rows: dict[str, list] = {k: [] for k in names[1:]}
             for t in b.column(1):

@@ -64,12 +64,18 @@ class Counts:
         return [sum(map(self.known.__getitem__, c)) for c in cut]
 
 
+@lru_cache(maxsize=2)
+def shared(path: str) -> Counts:
+    """Kept for the life of a worker process, so that its tasks share one memo."""
+    return Counts(path)
+
+
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every row."""
     path = path or pieces.model_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(path)
+        counts = shared(path)
         for b in batches:
             n = [k for i in range(0, len(b), CHUNK) for k in counts.texts(b.column(2)[i : i + CHUNK].to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
