@@ -145,8 +145,8 @@ def samples(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int,
     dice = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxicity sample")), F.lit(1_000_000))
     open_rows = docs.where(~held_out(id_col)).select(dice.alias("dice"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     within = lambda k, of: F.col("dice") < min(1_000_000, -(-k * 1_000_000 // max(1, of)))
-    confirmed = marked.where("toxic = 1").select("label_id").where(F.pmod(F.xxhash64("label_id", F.lit("toxicity sample")), F.lit(1_000_000)) < min(1_000_000, -(-positives * 1_000_000 // max(1, toxic or 0))))
-    p = open_rows.join(confirmed, F.col("id") == F.col("label_id"), "left_semi").collect()
+    confirmed = marked.where("toxic = 1").select("label_id")
+    p = open_rows.where(within(positives, toxic or 0)).join(confirmed, F.col("id") == F.col("label_id"), "left_semi").collect()
     u = open_rows.where(within(unlabelled, total)).collect()
     order = lambda rows: [r["text"] for r in sorted(rows, key=lambda r: (r["dice"], r["id"], r["text"] or ""))]
     return order(p), order(u), (toxic or 0) / max(1, n)
