@@ -44,7 +44,7 @@ def government_id(t: Column) -> Column:
 
 def payment_card(t: Column) -> Column:
     digits = F.transform(F.regexp_extract_all(t, F.lit("[0-9][0-9 -]{11,}[0-9]"), F.lit(0)), lambda m: F.regexp_replace(m, "[^0-9]", ""))
-    return F.exists(digits, lambda d: F.length(d).between(13, 19) & F.luhn_check(d) & ~d.rlike("^(0+|1+|2+|3+|4+|5+|6+|7+|8+|9+)$"))
+    return F.exists(digits, lambda d: F.length(d).between(13, 19) & F.call_function("luhn_check", d) & ~d.rlike("^(0+|1+|2+|3+|4+|5+|6+|7+|8+|9+)$"))
 
 
 def personal_email(t: Column) -> Column:
