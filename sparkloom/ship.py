@@ -9,11 +9,14 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send the package to the executors once per application."""
+    """Send the package to the executors once per application, and keep Arrow batches of whole texts small."""
+    if spark.conf.get(BATCH) == "10000":  # the default suits narrow rows; ours hold whole texts
+        spark.conf.set(BATCH, "512")
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         home = Path(__file__).resolve().parent
