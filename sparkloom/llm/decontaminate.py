@@ -43,7 +43,7 @@ LITERAL, CAPITAL, NUMBER, UNIT, MARK = range(5)
 SLOT_HASH = {CAPITAL: 0x9E3779B97F4A7C1, NUMBER: 0x7F4A7C15F39CC06, UNIT: 0x2545F4914F6CDD1}
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SIEVE = 1 << 22
-MEMO = 500_000
+MEMO = 300_000
 OTHER = 1 << 3 | LITERAL
 
 

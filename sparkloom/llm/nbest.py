@@ -26,15 +26,15 @@ import heapq
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import pieces
 
-MEMO = 500_000
+MEMO = 400_000
 #: Score of one byte where no piece covers a character: below every piece of the model.
 BYTE_SCORE = -100_000.0
 
@@ -48,6 +48,7 @@ class Lattice(dict):
         self.vocabulary = pieces.vocabulary(path)
         self.longest = max(map(len, self.vocabulary))
         self.byte_ids = pieces.byte_ids(path)
+        self.kind = np.uint16 if len(self.vocabulary) + 300 < 1 << 16 else np.uint32
 
     def __missing__(self, s: str) -> tuple:
         """Forward pass with the two best scores of each position: the best path, and what the second best loses."""
@@ -84,7 +85,7 @@ class Lattice(dict):
             ids.extend(own[::-1]) if type(own) is tuple else ids.append(own)
         if len(self) >= MEMO:
             self.clear()
-        found = self[s] = (tuple(ids[::-1]), x, x - y)
+        found = self[s] = (np.array(ids[::-1], self.kind).tobytes(), x, x - y)
         return found
 
     def search(self, s: str) -> list[tuple[float, tuple[int, ...]]]:
@@ -126,11 +127,11 @@ class Lattice(dict):
             out.append((best[-1] - total, tuple(ids)))
         return out
 
-    def text(self, text: str) -> tuple[list[int], list[tuple[float, int]], list[list[tuple[int, int]]]]:
+    def text(self, text: str) -> tuple[np.ndarray, list[tuple[float, int]], list[list[tuple[int, int]]]]:
         """Best ids; (score, tokens) of each of the N best; and which pre-token takes which alternative in each."""
         parts = pieces.splitter(self.path).findall(pieces.normalize(self.path, text))
         found = [self[p] for p in parts]
-        ids = list(chain.from_iterable([f[0] for f in found]))
+        ids = np.frombuffer(b"".join([f[0] for f in found]), self.kind).astype(np.int32)
         return ids, *self.chain(parts, found, sum([f[1] for f in found]), len(ids))
 
     def chain(self, parts: list[str], found: list, score: float, tokens: int) -> tuple[list[tuple[float, int]], list[list[tuple[int, int]]]]:
@@ -164,9 +165,9 @@ class Decoder:
             raw[i] = bytes([b])
         self.raw = raw
 
-    def text(self, ids: list[int]) -> str:
+    def text(self, ids: list[int] | np.ndarray) -> str:
         """The text of an id sequence; the space that encoding puts in front goes."""
-        joined = b"".join(map(self.raw.__getitem__, ids))
+        joined = b"".join(map(self.raw.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
         return (joined[1:] if joined[:1] == b" " else joined).decode("utf-8", "replace")
 
 

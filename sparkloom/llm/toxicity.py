@@ -30,31 +30,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.langid import held_out
+from sparkloom.scratch import cut as cut_table
+from sparkloom.scratch import small_side
 
 BITS = 18
 GRAM = 5
-MEMO = 300_000
+MEMO = 200_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str) -> list[int]:
+def word_features(word: str) -> bytes:
     """Hashed features of one word: itself, and its n-grams with the word's start marked."""
     mark = f"^{word}"
     parts = [f"={word}", *(mark[i : i + GRAM] for i in range(len(mark) - GRAM + 1))]
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for p in parts]
+    return np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for p in parts], np.uint32).tobytes()
 
 
-def features(text: str | None, memo: dict[str, list[int]]) -> np.ndarray:
+def features(text: str | None, memo: dict[str, bytes]) -> np.ndarray:
     """Distinct features of a whole text."""
-    found: list[int] = []
+    found: list[bytes] = []
     for word in set(WORDS.findall((text or "").lower())):
         own = memo.get(word)
         if own is None:
             if len(memo) >= MEMO:
                 memo.clear()
             own = memo[word] = word_features(word)
-        found += own
-    return np.unique(np.array(found, np.int64))
+        found.append(own)
+    return np.unique(np.frombuffer(b"".join(found), np.uint32)).astype(np.int64)
 
 
 @dataclass
@@ -62,7 +64,7 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def score(self, text: str | None, memo: dict[str, list[int]]) -> float:
+    def score(self, text: str | None, memo: dict[str, bytes]) -> float:
         x = features(text, memo)
         return float(1 / (1 + np.exp(-np.clip(self.weights[x].sum() + self.bias, -50, 50))))
 
@@ -71,7 +73,7 @@ def train(positive: list[str], unlabelled: list[str], prior: float, epochs: int
     """Fit by AdaGrad on mini-batches of both samples."""
     if not positive:
         return None
-    memo: dict[str, list[int]] = {}
+    memo: dict[str, bytes] = {}
     p, u = [features(t, memo) for t in positive], [features(t, memo) for t in unlabelled]
     prior = min(max(prior, 1e-3), 0.9)
     chosen = select(p, u, significance)
@@ -145,7 +147,8 @@ def samples(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int,
     dice = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxicity sample")), F.lit(1_000_000))
     open_rows = docs.where(~held_out(id_col)).select(dice.alias("dice"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     within = lambda k, of: F.col("dice") < min(1_000_000, -(-k * 1_000_000 // max(1, of)))
-    confirmed = marked.where("toxic = 1").select("label_id")
+    share = F.pmod(F.xxhash64("label_id", F.lit("toxicity sample")), F.lit(1_000_000)) < min(1_000_000, -(-positives * 1_000_000 // max(1, toxic or 0)))
+    confirmed = small_side(cut_table(marked.where("toxic = 1").where(share).select("label_id"), "confirmed"))
     p = open_rows.where(within(positives, toxic or 0)).join(confirmed, F.col("id") == F.col("label_id"), "left_semi").collect()
     u = open_rows.where(within(unlabelled, total)).collect()
     order = lambda rows: [r["text"] for r in sorted(rows, key=lambda r: (r["dice"], r["id"], r["text"] or ""))]
