@@ -89,11 +89,11 @@ def _grants(demand: dict[tuple[int, int], int], room: list[int]) -> list[tuple[i
     """Per shard: classes below the first number are admitted whole, of that class so many thousandths."""
     grants = []
     for s, left in enumerate(room):
-        first, part = CLASSES, 0
+        first, part, left = CLASSES, 0, max(0, left)
         for k in range(CLASSES):
             want = demand.get((s, k), 0)
             if want > left:
-                first, part = k, max(0, left) * 980 // want
+                first, part = k, left * 980 // want
                 break
             left -= want
         grants.append((first, part))

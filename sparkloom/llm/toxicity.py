@@ -35,6 +35,7 @@ from sparkloom.scratch import small_side
 
 BITS = 18
 GRAM = 5
+LEAST_FEATURES = 100
 MEMO = 200_000
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -122,6 +123,8 @@ def cut(out_p: np.ndarray, out_u: np.ndarray, prior: float) -> float:
     recall = 1 - np.searchsorted(np.sort(out_p), at) / len(out_p)
     called = 1 - np.searchsorted(np.sort(out_u), at) / max(1, len(out_u))
     best = int(np.argmax(2 * prior * recall / (prior + np.maximum(called, prior * recall))))
+    if called[best] > 0.5:  # nothing sets positives apart
+        return float(at[-1] + 1)
     below = np.concatenate([out_p, out_u])
     below = below[below < at[best]]
     return float((at[best] + (below.max() if len(below) else at[best])) / 2)
@@ -134,9 +137,12 @@ def select(p: list[np.ndarray], u: list[np.ndarray], significance: float) -> np.
     words in a long text must not be thinned out, so features that carry no
     evidence are left out of the sum.
     """
-    in_p, in_u = (np.bincount(np.concatenate([*side, np.empty(0, np.int64)]), minlength=1 << BITS) / max(1, len(side)) for side in (p, u))
-    error = np.sqrt((in_p * (1 - in_p) + 1e-4) / len(p) + (in_u * (1 - in_u) + 1e-4) / max(1, len(u)))
-    return np.flatnonzero(np.abs(in_p - in_u) > significance * error)
+    in_p, in_u = (np.bincount(np.concatenate([*side, np.empty(0, np.int64)]), minlength=1 << BITS) for side in (p, u))
+    in_p, in_u = (in_p + 1) / (len(p) + 2), (in_u + 1) / (len(u) + 2)  # a feature that few texts could show isn't absent for certain
+    error = np.sqrt(in_p * (1 - in_p) / (len(p) + 2) + in_u * (1 - in_u) / (len(u) + 2))
+    z = np.abs(in_p - in_u) / error
+    # few positives leave little significance: then the strongest features with some of it
+    return np.sort(np.argsort(-z, kind="stable")[: max(int((z > significance).sum()), min(LEAST_FEATURES, int((z > 2).sum())))])
 
 
 def samples(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int, id_col: str, text_col: str, label_col: str) -> tuple[list[str], list[str], float]:

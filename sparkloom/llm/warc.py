@@ -214,7 +214,7 @@ def export(bundles: DataFrame, folder: str) -> DataFrame:
         for b in batches:
             names, sizes = [], []
             for name, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                with store.open_output_stream(f"{base}/{name}.warc.zst") as out:
+                with store.open_output_stream(f"{base}/{name}.warc.zst", compression=None) as out:
                     out.write(raw)
                 names.append(f"{name}.warc.zst")
                 sizes.append(len(raw))
