@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import core
+from sparkloom.plans import core, more
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(core.QUERIES)
+    return core.QUERIES | more.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(core.SQL)
+    return core.SQL | more.SQL

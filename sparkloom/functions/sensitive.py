@@ -110,3 +110,11 @@ def verdict(t: Column) -> Column:
     rules = F.when(F.size(sure) > 0, sure).otherwise(maybe)
     status = F.when(F.size(sure) > 0, "REJECTED").when(F.size(maybe) > 0, "QUARANTINED").otherwise("ACCEPTED")
     return F.struct(status.alias("status"), rules.alias("rules"))
+
+
+def iban(x: Column) -> Column:
+    """Whether a code of 15 to 34 characters leaves 1 modulo 97 with its first four at the end and letters as numbers."""
+    turned = F.concat(F.substr(x, F.lit(5)), F.substring(x, 1, 4))
+    digit = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    rest = F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), lambda s, c: (s * F.when(c.rlike("[0-9]"), 10).otherwise(100) + digit(c)) % 97)
+    return x.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$") & (rest == 1)
