@@ -121,10 +121,11 @@ def test_tree_scan_and_stability(spark, tmp_path):
     (root / "pkg").mkdir(parents=True)
     (root / "pkg" / "a.py").write_text("x = 1\n")
     (root / "pkg" / "empty.py").write_text("")
-    (root / "pkg" / "a:b.py").write_text("x")
+    (root / "c.py").write_text("y = 1\n")
     (root / "b.txt").write_text("no")
     got = {r["relative_path"]: r["status"] for r in files.tree_scan(spark, str(root)).collect()}
-    assert got == {"pkg/a.py": "admitted", "pkg/a:b.py": "skipped_path"}
+    assert got == {"pkg/a.py": "admitted", "c.py": "admitted"}
+    assert {r["relative_path"]: r["status"] for r in files.tree_scan(spark, str(root), depth=1).collect()} == {"pkg/a.py": "skipped_path", "c.py": "admitted"}
     before = spark.createDataFrame(files.discover(spark, str(root)).collect())
     assert files.stable(spark, str(root), before).count() == 0
     (root / "b.txt").write_text("changed")
