@@ -19,7 +19,7 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sparkloom.scratch import cut, drop
@@ -51,35 +51,51 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, rounds: int = 12, id_col:
 
 
 def propagate(base: DataFrame, caps: list[int], rounds: int) -> DataFrame:
-    """Rounds of label propagation over the cells of linked documents; the last state."""
+    """Rounds of label propagation over the cells of linked documents; the last state.
+
+    A round is one job that deals the cells out by text, once for its two
+    aggregations and the join, and writes every cell with its wish, and one
+    small job that counts the wishes. What a round admits is an expression over
+    the written table that the next round reads, and the shards' loads are
+    observed while it is written.
+    """
+    n = len(caps)
     cells = base.where(F.col("key").isNotNull()).groupBy("key", "init", "salt").agg(F.count(F.lit(1)).alias("c"))
     cells = cells.withColumn("n", F.sum("c").over(Window.partitionBy("key"))).where("n > 1").withColumn("label", F.col("init"))
-    state = cut(cells, "cells")
+    written, is_open = cut(cells, "cells"), [cap > 0 for cap in caps]
+    state = written
     for _ in range(rounds):
-        loads = {r["label"]: r["load"] for r in state.groupBy("label").agg(F.sum("c").alias("load")).collect()}
-        room = [cap - loads.get(s, 0) for s, cap in enumerate(caps)]
-        asked = cut(_requests(state, room), "asked")
-        demand = asked.where("target is not null").groupBy("target", "class").agg(F.sum("c").alias("c")).collect()
-        if not demand:
-            drop(asked)
+        seen = Observation()
+        loads = [F.sum(F.when(F.col("label") == s, F.col("c"))).alias(str(s)) for s in range(n)]
+        asked = cut(_requests(state, is_open).observe(seen, *loads), "asked")
+        drop(written)
+        written = asked
+        room = [cap - (seen.get[str(s)] or 0) for s, cap in enumerate(caps)]
+        demand = {(r["target"], r["class"]): r["c"] for r in asked.where("target is not null").groupBy("target", "class").agg(F.sum("c").alias("c")).collect()}
+        grant = _grants(demand, room)
+        state = asked.select("key", "init", "salt", "c", "n", F.when(_admitted(grant), F.col("target")).otherwise(F.col("label")).alias("label"))
+        given = [sum(c * (k < first) + c * part // 1000 * (k == first) for (t, k), c in demand.items() if t == s) for s, (first, part) in enumerate(grant)]
+        if not any(given):
             break
-        grant = _grants({(r["target"], r["class"]): r["c"] for r in demand}, room)
-        at = lambda k: F.element_at(F.array(*[F.lit(g[k]) for g in grant]), F.col("target") + 1)
-        dice = F.pmod(F.xxhash64("key", "init", "salt"), F.lit(1000))
-        admit = F.col("target").isNotNull() & ((F.col("class") < at(0)) | ((F.col("class") == at(0)) & (dice < at(1))))
-        moved = cut(asked.select("key", "init", "salt", "c", "n", F.when(admit, F.col("target")).otherwise(F.col("label")).alias("label")), "cells")
-        drop(asked)
-        drop(state)
-        state = moved
+        is_open = [r > g for r, g in zip(room, given)]
     return state
 
 
-def _requests(state: DataFrame, room: list[int]) -> DataFrame:
+def _admitted(grant: list[tuple[int, int]]) -> Column:
+    """Whether a cell's wish is granted: its class is below its target's first number, or of it and drawn."""
+    at = lambda k: F.element_at(F.array(*[F.lit(g[k]) for g in grant]), F.col("target") + 1)
+    dice = F.pmod(F.xxhash64("key", "init", "salt"), F.lit(1000))
+    return F.col("target").isNotNull() & ((F.col("class") < at(0)) | ((F.col("class") == at(0)) & (dice < at(1))))
+
+
+def _requests(state: DataFrame, is_open: list[bool]) -> DataFrame:
     """Each cell's wish to join the open shard with most of its group; null target: it stays."""
-    is_open = F.element_at(F.array(*[F.lit(r > 0) for r in room]), F.col("label") + 1)
+    state = state.repartition("key")  # both aggregations and the join below keep this partitioning; a text has a bounded number of cells
     held = state.groupBy("key", "label").agg(F.sum("c").alias("held"))
-    best = held.where(is_open).groupBy("key").agg(F.max(F.struct("held", F.xxhash64("key", "label").alias("tie"), "label")).alias("best"))
-    wish = state.join(held, ["key", "label"]).join(best, "key", "left")
+    free = F.element_at(F.array(*[F.lit(x) for x in is_open]), F.col("label") + 1)
+    best = F.max(F.when(free, F.struct("held", F.xxhash64("key", "label").alias("tie"), "label"))).alias("best")
+    groups = held.groupBy("key").agg(best, F.map_from_entries(F.collect_list(F.struct("label", "held"))).alias("shares"))
+    wish = state.join(groups, "key").withColumn("held", F.element_at("shares", F.col("label")))
     better = (F.col("best.label") != F.col("label")) & (F.col("held") <= F.col("best.held"))
     size_class = 15 - F.least(F.floor(F.log2(F.col("n").cast("double"))), F.lit(15)).cast("int")
     return wish.select("key", "init", "salt", "c", "n", "label", F.when(better, F.col("best.label")).alias("target"), (size_class * 4 + F.pmod(F.hash("key"), F.lit(4))).alias("class"))
