@@ -50,8 +50,8 @@ OTHER = 1 << 3 | LITERAL
 class Codes(dict):
     """Token to (hash of its lower-cased form, kind) as one integer.
 
-    With ``known``, lower-case tokens outside it share one code: no window of
-    the benchmark holds them, so which of them it is makes no difference.
+    With ``known``, tokens that start lower-case and whose lower-cased form is
+    outside it share one code: no window of the benchmark holds them, so which of them it is makes no difference.
     """
 
     def __init__(self, known: frozenset[str] | None = None):
@@ -61,10 +61,10 @@ class Codes(dict):
     def __missing__(self, token: str) -> int:
         if len(self) >= MEMO:
             self.clear()
-        if self.known is not None and token[0].islower() and token not in self.known and token not in UNITS:
+        low = token.lower()
+        if self.known is not None and token[0].islower() and low not in self.known and low not in UNITS:
             self[token] = OTHER
             return OTHER
-        low = token.lower()
         kind = MARK if token in ".!?\n" else NUMBER if token[0].isdigit() else UNIT if low in UNITS else CAPITAL if token[0] != low[0] else LITERAL
         code = self[token] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) >> 4 << 3 | kind
         return code

@@ -70,6 +70,16 @@ def test_templates_catch_changed_slots(spark):
     assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs(spark, texts), item).collect()) == [2, 3, 4, 6]
 
 
+def test_sieve_and_shuffle_agree_on_mixed_case(spark, monkeypatch):
+    texts = ["the mRNA level at low pH is high", "so my iPhone drew 3 kWh and 5 mL of it leaked over the old desk", "the mRNA level at low pH", "nothing of it"]
+    items = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (3, "mRNA pH")], "item_id long, text string")
+    found = []
+    for sieve in (decontaminate.SIEVE, 0):
+        monkeypatch.setattr(decontaminate, "SIEVE", sieve)
+        found.append(sorted(tuple(r) for r in decontaminate.leaks(docs(spark, [f"Here {t} now" for t in texts]), items).collect()))
+    assert found[0] == found[1] and {(r[0], r[2]) for r in found[0]} == {(0, 1), (1, 2)}
+
+
 def brute_paths(lattice, s):
     found = []
 
