@@ -61,7 +61,7 @@ def later_copies(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", t
         own = windows.where((span >= (1 << k)) & (span < (2 << k)))
         head = ranks.select(*DOC, F.col("i").alias("a"), F.col("r").alias("r1"))
         tail = ranks.select(*DOC, (F.col("i") + (1 << k)).alias("z"), F.col("r").alias("r2"))
-        copies = _repeats(cut(own.join(head, [*DOC, "a"]).join(tail, [*DOC, "z"]).select(*DOC, "a", "z", "r1", "r2"), "named"))
+        copies = _repeats(cut(_met(_met(own, head, "a"), tail, "z").select(*DOC, "a", "z", "r1", "r2"), "named"))
         found = copies if found is None else found.unionByName(copies)
         if (2 << k) <= longest:
             ranks = _double(ranks, 1 << k)
@@ -87,6 +87,13 @@ def _ranks(counts: DataFrame, key: list[str]) -> DataFrame:
     return cut(counts.where("n > 1").select(*key).orderBy(*key).withColumn("r", F.monotonically_increasing_id()), "ranks")
 
 
+def _met(left: DataFrame, right: DataFrame, at: str) -> DataFrame:
+    """Inner join by document and ``at``; a null id equals itself."""
+    key = [*DOC, at]
+    right = right.withColumnsRenamed({c: f"{c}_met" for c in key})
+    return left.join(right, [F.col(c).eqNullSafe(F.col(f"{c}_met")) for c in key]).drop(*[f"{c}_met" for c in key])
+
+
 def _double(ranks: DataFrame, h: int) -> DataFrame:
     """Ranks by twice as many lines, of the suffixes that still share theirs."""
     ahead = F.max("r").over(Window.partitionBy(*DOC).orderBy("i").rangeBetween(h, h))

@@ -241,6 +241,15 @@ def test_line_runs(spark):
     assert line_dedup.dedup_lines(docs(spark, EMPTY)).count() == 0
 
 
+def test_line_runs_of_null_ids(spark):
+    run = " ".join(f"w{i}" for i in range(60))
+    texts = [f"a\n{run}\nb", f"c\n{run}\nd", f"e\n{run}\nf", "own line"]
+    got = {r["text"] for r in line_dedup.dedup_lines(docs(spark, texts, [3, None, 1, None])).collect()}
+    assert got == {"a\nb", texts[1], "e\nf", "own line"}
+    both = [r["text"] for r in line_dedup.dedup_lines(docs(spark, texts[:2], [None, None])).collect()]
+    assert len(both) == 2 and sum(run in t for t in both) == 1
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
 def test_pipeline_follows_its_stages(spark):
     import corpus_pipeline
