@@ -9,6 +9,12 @@ item, and if its slots are consistent: one value of the item always stands
 against one value of the document. A question with other numbers and names is
 so caught, and a chance meeting of templates is not.
 
+Whether a capitalised word is a name depends on what surrounds it, so windows are
+hashed in three readings, each of which is matched with itself alone: ``NAMES``, by the rule
+below; ``CAPITALS``, where every capitalised word is a name; and ``PLAIN``, without placeholders. The last
+two read a passage the same way wherever it stands, so copies match whatever
+surrounds them. An alignment is of one reading; a leak in any of them is one.
+
 A number is digits with inner points or commas; a unit is a word of ``UNITS``
 right after a number; a name is a capitalised word that doesn't begin a
 sentence, or does and stands capitalised within another sentence of the text.
@@ -45,6 +51,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 SIEVE = 1 << 22
 MEMO = 300_000
 OTHER = 1 << 3 | LITERAL
+NAMES, CAPITALS, PLAIN = READINGS = range(3)
 
 
 class Codes(dict):
@@ -76,13 +83,15 @@ class Template:
     codes: np.ndarray
     slots: np.ndarray  # kind of each token as a placeholder, LITERAL if it is none
     places: np.ndarray = field(repr=False, default=None)
+    reading: int = NAMES
+    words: np.ndarray = field(repr=False, default=None)  # whether a token is neither a number nor its unit
 
     def windows(self, n: int) -> np.ndarray:
         """Hash of the n template tokens from each position."""
         count = len(self.codes) - n + 1
         if count < 1:
             return np.empty(0, np.uint64)
-        out = np.full(count, np.uint64(n))
+        out = np.full(count, np.uint64(self.reading << 32 | n))
         for j in range(n):
             out = (out * BASE) ^ self.codes[j : j + count]
             out ^= out >> np.uint64(29)
@@ -93,8 +102,8 @@ class Template:
         return [(int(i), self.tokens[self.places[at + i]].lower()) for i in np.flatnonzero(self.slots[at : at + n])]
 
 
-def template(text: str | None, codes: Codes, least: int = 0) -> Template:
-    """The template of a whole text; an empty one if each run of so many tokens holds one that no benchmark window holds."""
+def templates(text: str | None, codes: Codes, least: int = 0) -> list[Template]:
+    """The template of a whole text in each reading; none if the text is empty or each run of so many tokens holds one that no benchmark window holds."""
     tokens = TOKENS.findall(text or "")
     packed = np.array(list(map(codes.__getitem__, tokens)), np.int64)
     if least and np.diff(np.flatnonzero(packed == OTHER), prepend=-1, append=len(packed)).max() <= least:
@@ -107,31 +116,34 @@ def template(text: str | None, codes: Codes, least: int = 0) -> Template:
     inner = (kind == CAPITAL) & ~starts
     if inner.any():
         inner |= (kind == CAPITAL) & np.isin(word, word[inner])
-    slots = np.where(inner, CAPITAL, np.where(kind == NUMBER, NUMBER, np.where((kind == UNIT) & after_number, UNIT, LITERAL)))
-    out = word.copy()
-    for k, h in SLOT_HASH.items():
-        out[slots == k] = h
-    return Template(tokens, out.astype(np.uint64), slots, places)
+    measures = np.where(kind == NUMBER, NUMBER, np.where((kind == UNIT) & after_number, UNIT, LITERAL))
+    made = []
+    for reading, slots in ((NAMES, np.where(inner, CAPITAL, measures)), (CAPITALS, np.where(kind == CAPITAL, CAPITAL, measures)), (PLAIN, np.full(len(kind), LITERAL))):
+        out = word.copy()
+        for k, h in SLOT_HASH.items():
+            out[slots == k] = h
+        made.append(Template(tokens, out.astype(np.uint64), slots, places, reading, measures == LITERAL))
+    return made if len(kind) else []
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``h, n, item_id, item_at, item_tokens, item_slots`` of every template window of the benchmark that has a literal token in it."""
+    """``h, n, reading, item_id, item_at, item_tokens, item_slots`` of every template window of the benchmark that has a literal token in it (of the plain reading: a word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
         for b in batches:
             rows = []
             for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                t = template(text, codes)
-                n = min(window, len(t.codes))
-                for at, h in enumerate(t.windows(n).view(np.int64).tolist() if n else []):
-                    if (t.slots[at : at + n] == LITERAL).sum() * 2 >= n:
-                        rows.append((h, n, item, at, len(t.codes), [{"p": p, "v": v} for p, v in t.values(at, n)]))
+                for t in templates(text, codes):
+                    n = min(window, len(t.codes))
+                    for at, h in enumerate(t.windows(n).view(np.int64).tolist()):
+                        if ((t.slots[at : at + n] == LITERAL) & t.words[at : at + n]).sum() * 2 >= n:
+                            rows.append((h, n, t.reading, item, at, len(t.codes), [{"p": p, "v": v} for p, v in t.values(at, n)]))
             if rows:
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), _SLOTS]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "n", "item_id", "item_at", "item_tokens", "item_slots"])
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), _SLOTS]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "n", "reading", "item_id", "item_at", "item_tokens", "item_slots"])
 
-    return benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(run, "h long, n int, item_id long, item_at int, item_tokens int, item_slots array<struct<p: int, v: string>>")
+    return benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(run, "h long, n int, reading int, item_id long, item_at int, item_tokens int, item_slots array<struct<p: int, v: string>>")
 
 
 _SLOTS = pa.list_(pa.struct([("p", pa.int32()), ("v", pa.string())]))
@@ -147,21 +159,22 @@ def benchmark_tokens(benchmark: DataFrame, text_col: str = "text") -> list[str]:
     return [r[0] for r in benchmark.select(text_col).mapInArrow(run, "t string").distinct().collect()]
 
 
-def document_windows(docs: DataFrame, lengths: list[int], sieve: tuple[np.ndarray, frozenset[str]] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, th, h, doc_at, doc_slots`` of the template windows of every document; with a sieve (the benchmark's window hashes and tokens), only of those whose hash is in it."""
+def document_windows(docs: DataFrame, lengths: list[tuple[int, int]], sieve: tuple[np.ndarray, frozenset[str]] | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, th, h, doc_at, doc_slots`` of the template windows of every document, of the readings and sizes in ``lengths``; with a sieve (the benchmark's window hashes and tokens), only of those whose hash is in it."""
     shared = docs.sparkSession.sparkContext.broadcast(sieve)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, known = shared.value or (None, None)
-        codes, least = Codes(known), min(lengths, default=0) if known is not None else 0
+        codes, least = Codes(known), min((n for _, n in lengths), default=0) if known is not None else 0
         if hashes is not None:  # sorted
             bits = np.zeros(1 << 24, bool)
             bits[(hashes & np.uint64((1 << 24) - 1)).astype(np.int64)] = True
         for b in batches:
             for i in range(len(b)):
-                t, rows = template(b.column(2)[i].as_py(), codes, least), []
-                for n in lengths if len(t.codes) else ():
+                made, rows = templates(b.column(2)[i].as_py(), codes, least), []
+                for reading, n in lengths if made else ():
+                    t = made[reading]
                     found = t.windows(n)
                     at = np.arange(len(found))
                     if hashes is not None:
@@ -181,14 +194,14 @@ def document_windows(docs: DataFrame, lengths: list[int], sieve: tuple[np.ndarra
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, enough: int = 13, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """``doc_id, th, item_id, matched_tokens, item_tokens, changed_slots``: the best alignment of each leaked item in each document."""
     items = cut(benchmark_windows(benchmark, window, item_col, "text"), "items")
-    lengths = sorted(r[0] for r in items.select("n").distinct().collect())
+    lengths = sorted((r[0], r[1]) for r in items.select("reading", "n").distinct().collect())
     sieve = None
     if items.select("h").distinct().count() <= SIEVE:
         hashes = np.unique(np.array([r[0] for r in items.select("h").distinct().collect()], np.int64).view(np.uint64))
         sieve = hashes, frozenset(benchmark_tokens(benchmark))
     found = cut(document_windows(docs, lengths, sieve, id_col, text_col).distinct(), "windows")
     pairs = found.join(items, "h").withColumn("shift", F.col("doc_at") - F.col("item_at"))
-    key = ["doc_id", "th", "item_id", "item_tokens", "shift"]
+    key = ["doc_id", "th", "item_id", "item_tokens", "reading", "shift"]
     tokens = pairs.groupBy(*key).agg(F.sort_array(F.collect_set("item_at")).alias("ats"), F.first("n").alias("n"))
     covered = F.aggregate("ats", F.struct(F.lit(0).alias("sum"), F.lit(-1).alias("end")), lambda s, at: F.struct((s["sum"] + F.col("n") - F.greatest(F.lit(0), s["end"] - at)).alias("sum"), (at + F.col("n")).alias("end")), lambda s: s["sum"])
     tokens = tokens.select(*key, covered.alias("matched_tokens"))

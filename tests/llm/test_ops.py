@@ -80,6 +80,14 @@ def test_sieve_and_shuffle_agree_on_mixed_case(spark, monkeypatch):
     assert found[0] == found[1] and {(r[0], r[2]) for r in found[0]} == {(0, 1), (1, 2)}
 
 
+def test_copies_match_whatever_surrounds_them(spark):
+    item = "She sold the old boat. He kept the oars."
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, item)], "item_id long, text string")
+    texts = ["Q: What is the capital of France?", "Q: What is the capital of Spain?", 'In "The Times and She Said and He Said" it stood. ' + item, "now " + item.lower(), "The capital of France is what it is."]
+    got = {(r["doc_id"], r["item_id"], r["changed_slots"]) for r in decontaminate.leaks(docs(spark, texts), items).collect()}
+    assert got == {(0, 1, 0), (1, 1, 1), (2, 2, 0), (3, 2, 0)}
+
+
 def brute_paths(lattice, s):
     found = []
 
