@@ -10,10 +10,12 @@ against one value of the document. A question with other numbers and names is
 so caught, and a chance meeting of templates is not.
 
 Whether a capitalised word is a name depends on what surrounds it, so windows are
-hashed in three readings, each of which is matched with itself alone: ``NAMES``, by the rule
-below; ``CAPITALS``, where every capitalised word is a name; and ``PLAIN``, without placeholders. The last
+hashed in five readings, each of which is matched with itself alone: ``NAMES``, by the rule
+below; ``CAPITALS``, where every capitalised word is a name; and ``PLAIN``, without placeholders. These last
 two read a passage the same way wherever it stands, so copies match whatever
-surrounds them. An alignment is of one reading; a leak in any of them is one.
+surrounds them. ``NAME_RUNS`` and ``CAPITAL_RUNS`` read as the first two, but names with
+nothing but space between them are one placeholder, so a name can stand for one of more words.
+An alignment is of one reading; a leak in any of them is one.
 
 A number is digits with inner points or commas; a unit is a word of ``UNITS``
 right after a number; a name is a capitalised word that doesn't begin a
@@ -44,14 +46,15 @@ from pyspark.sql import functions as F
 from sparkloom.scratch import cut, small_side
 
 UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years cent cents dollar dollars euro euros percent degree degrees".split())
-TOKENS = re.compile(r"\d+(?:[.,]\d+)*|\w+|[.!?\n]")
-LITERAL, CAPITAL, NUMBER, UNIT, MARK = range(5)
+TOKENS = re.compile(r"\d+(?:[.,]\d+)*|\w+|[.!?\n]|[^\w\s'’-]")
+WORD = re.compile(r"\w")
+LITERAL, CAPITAL, NUMBER, UNIT, MARK, BREAK = range(6)
 SLOT_HASH = {CAPITAL: 0x9E3779B97F4A7C1, NUMBER: 0x7F4A7C15F39CC06, UNIT: 0x2545F4914F6CDD1}
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SIEVE = 1 << 22
 MEMO = 300_000
 OTHER = 1 << 3 | LITERAL
-NAMES, CAPITALS, PLAIN = READINGS = range(3)
+NAMES, CAPITALS, PLAIN, NAME_RUNS, CAPITAL_RUNS = range(5)
 
 
 class Codes(dict):
@@ -72,7 +75,7 @@ class Codes(dict):
         if self.known is not None and token[0].islower() and low not in self.known and low not in UNITS:
             self[token] = OTHER
             return OTHER
-        kind = MARK if token in ".!?\n" else NUMBER if token[0].isdigit() else UNIT if low in UNITS else CAPITAL if token[0] != low[0] else LITERAL
+        kind = MARK if token in ".!?\n" else BREAK if not WORD.match(token) else NUMBER if token[0].isdigit() else UNIT if low in UNITS else CAPITAL if token[0] != low[0] else LITERAL
         code = self[token] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass")) >> 4 << 3 | kind
         return code
 
@@ -81,8 +84,9 @@ class Codes(dict):
 class Template:
     tokens: list[str]
     codes: np.ndarray
-    slots: np.ndarray  # kind of each token as a placeholder, LITERAL if it is none
-    places: np.ndarray = field(repr=False, default=None)
+    slots: np.ndarray  # kind of each template token as a placeholder, LITERAL if it is none
+    places: np.ndarray = field(repr=False, default=None)  # of all words among the tokens
+    first: np.ndarray = field(repr=False, default=None)  # the first word of each template token, and the number of words
     reading: int = NAMES
     words: np.ndarray = field(repr=False, default=None)  # whether a token is neither a number nor its unit
 
@@ -98,36 +102,46 @@ class Template:
         return out
 
     def values(self, at: int, n: int) -> list[tuple[int, str]]:
-        """(position from ``at``, lower-cased value) of the slots among n tokens."""
-        return [(int(i), self.tokens[self.places[at + i]].lower()) for i in np.flatnonzero(self.slots[at : at + n])]
+        """(position from ``at``, lower-cased value) of the slots among n template tokens."""
+        return [(int(i), " ".join(self.tokens[p].lower() for p in self.places[self.first[at + i] : self.first[at + i + 1]])) for i in np.flatnonzero(self.slots[at : at + n])]
 
 
 def templates(text: str | None, codes: Codes, least: int = 0) -> list[Template]:
     """The template of a whole text in each reading; none if the text is empty or each run of so many tokens holds one that no benchmark window holds."""
     tokens = TOKENS.findall(text or "")
     packed = np.array(list(map(codes.__getitem__, tokens)), np.int64)
+    said = np.flatnonzero(packed & 7 != BREAK)
+    parted = np.diff(said, prepend=-1) > 1  # a break stands before the token
+    packed = packed[said]
     if least and np.diff(np.flatnonzero(packed == OTHER), prepend=-1, append=len(packed)).max() <= least:
-        packed = packed[:0]
+        return []
     kind = packed & 7
-    places = np.flatnonzero(kind != MARK)
-    starts = np.concatenate([[True], kind[:-1] == MARK])[places] if len(places) else np.empty(0, bool)
-    word, kind = packed[places] >> 3, kind[places]
-    after_number = np.concatenate([[False], kind[:-1] == NUMBER]) if len(kind) else np.empty(0, bool)
-    inner = (kind == CAPITAL) & ~starts
+    at = np.flatnonzero(kind != MARK)
+    if not len(at):
+        return []
+    starts = np.concatenate([[True], kind[:-1] == MARK])[at]
+    word, kind, places = packed[at] >> 3, kind[at], said[at]
+    after_number = np.concatenate([[False], kind[:-1] == NUMBER])
+    capital = kind == CAPITAL
+    inner = capital & ~starts
     if inner.any():
-        inner |= (kind == CAPITAL) & np.isin(word, word[inner])
+        inner |= capital & np.isin(word, word[inner])
     measures = np.where(kind == NUMBER, NUMBER, np.where((kind == UNIT) & after_number, UNIT, LITERAL))
-    made = []
-    for reading, slots in ((NAMES, np.where(inner, CAPITAL, measures)), (CAPITALS, np.where(kind == CAPITAL, CAPITAL, measures)), (PLAIN, np.full(len(kind), LITERAL))):
+    every, made = np.arange(len(kind) + 1), []
+    for reading, name in ((NAMES, inner), (CAPITALS, capital), (PLAIN, None), (NAME_RUNS, inner), (CAPITAL_RUNS, capital)):
+        slots = np.full(len(kind), LITERAL) if name is None else np.where(name, CAPITAL, measures)
         out = word.copy()
         for k, h in SLOT_HASH.items():
             out[slots == k] = h
-        made.append(Template(tokens, out.astype(np.uint64), slots, places, reading, measures == LITERAL))
-    return made if len(kind) else []
+        first = every
+        if reading in (NAME_RUNS, CAPITAL_RUNS):
+            first = every[np.concatenate([[True], ~(name[1:] & name[:-1] & ~starts[1:] & ~parted[at][1:]), [True]])]
+        made.append(Template(tokens, out[first[:-1]].astype(np.uint64), slots[first[:-1]], places, first, reading, (measures == LITERAL)[first[:-1]]))
+    return made
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``h, n, reading, item_id, item_at, item_tokens, item_slots`` of every template window of the benchmark that has a literal token in it (of the plain reading: a word)."""
+    """``h, n, reading, item_id, item_at, item_from, item_to, item_tokens, item_slots`` of every template window of the benchmark that has a literal token in it (of the plain reading: a word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
@@ -137,13 +151,13 @@ def benchmark_windows(benchmark: DataFrame, window: int = 10, id_col: str = "ite
                 for t in templates(text, codes):
                     n = min(window, len(t.codes))
                     for at, h in enumerate(t.windows(n).view(np.int64).tolist()):
-                        if ((t.slots[at : at + n] == LITERAL) & t.words[at : at + n]).sum() * 2 >= n:
-                            rows.append((h, n, t.reading, item, at, len(t.codes), [{"p": p, "v": v} for p, v in t.values(at, n)]))
+                        if ((t.slots[at : at + n] == LITERAL) & t.words[at : at + n]).any():
+                            rows.append((h, n, t.reading, item, at, int(t.first[at]), int(t.first[at + n]), len(t.places), [{"p": p, "v": v} for p, v in t.values(at, n)]))
             if rows:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), _SLOTS]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "n", "reading", "item_id", "item_at", "item_tokens", "item_slots"])
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), *[pa.int32()] * 4, _SLOTS]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "n", "reading", "item_id", "item_at", "item_from", "item_to", "item_tokens", "item_slots"])
 
-    return benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(run, "h long, n int, reading int, item_id long, item_at int, item_tokens int, item_slots array<struct<p: int, v: string>>")
+    return benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).mapInArrow(run, "h long, n int, reading int, item_id long, item_at int, item_from int, item_to int, item_tokens int, item_slots array<struct<p: int, v: string>>")
 
 
 _SLOTS = pa.list_(pa.struct([("p", pa.int32()), ("v", pa.string())]))
@@ -202,8 +216,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 10, enough: int =
     found = cut(document_windows(docs, lengths, sieve, id_col, text_col).distinct(), "windows")
     pairs = found.join(items, "h").withColumn("shift", F.col("doc_at") - F.col("item_at"))
     key = ["doc_id", "th", "item_id", "item_tokens", "reading", "shift"]
-    tokens = pairs.groupBy(*key).agg(F.sort_array(F.collect_set("item_at")).alias("ats"), F.first("n").alias("n"))
-    covered = F.aggregate("ats", F.struct(F.lit(0).alias("sum"), F.lit(-1).alias("end")), lambda s, at: F.struct((s["sum"] + F.col("n") - F.greatest(F.lit(0), s["end"] - at)).alias("sum"), (at + F.col("n")).alias("end")), lambda s: s["sum"])
+    tokens = pairs.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("item_from", "item_to"))).alias("ats"))
+    covered = F.aggregate("ats", F.struct(F.lit(0).alias("sum"), F.lit(0).alias("end")), lambda s, at: F.struct((s["sum"] + at["item_to"] - F.greatest(at["item_from"], s["end"])).alias("sum"), at["item_to"].alias("end")), lambda s: s["sum"])
     tokens = tokens.select(*key, covered.alias("matched_tokens"))
     zipped = F.explode(F.arrays_zip("item_slots", "doc_slots"))
     values = pairs.where(F.size("item_slots") > 0).select(*key, zipped.alias("s")).select(*key, F.col("s.item_slots.v").alias("a"), F.col("s.doc_slots.v").alias("b"))

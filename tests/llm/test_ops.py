@@ -88,6 +88,15 @@ def test_copies_match_whatever_surrounds_them(spark):
     assert got == {(0, 1, 0), (1, 1, 1), (2, 2, 0), (3, 2, 0)}
 
 
+def test_items_dense_in_slots_and_longer_names(spark):
+    dense = "Alice paid 5 dollars, Bob 7 dollars, Carl 9 dollars"
+    long = "So far as we know Alice went down to the old harbour and then she sailed away"
+    items = spark.createDataFrame([(1, dense), (2, long), (3, "5 7 9")], "item_id long, text string")
+    texts = ["Here: " + dense, "Then " + dense.replace("Bob", "Tom").replace("9", "11"), "Well. " + long.replace("Alice", "Maria Jane Lee"), dense.replace("Bob", "Tom").replace("dollars", "cars"), "5 7 9"]
+    got = {(r["doc_id"], r["item_id"], r["matched_tokens"], r["item_tokens"]) for r in decontaminate.leaks(docs(spark, texts), items).collect()}
+    assert got == {(0, 1, 10, 10), (1, 1, 10, 10), (2, 2, 17, 17)}
+
+
 def brute_paths(lattice, s):
     found = []
 
