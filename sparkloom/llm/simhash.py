@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.components import connected_components
@@ -166,25 +166,53 @@ def forest(fp: np.ndarray, radius: int) -> np.ndarray:
     return np.stack([fp[own], fp[roots[own]]], axis=1)
 
 
+def labelled(marked: DataFrame, radius: int) -> DataFrame:
+    """``fp, first, label`` of every fingerprint: its smallest id, and one label for all it is linked to."""
+    classes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+    labels = connected_components(near_links(classes.select("fp"), classes.count(), radius))
+    return classes.join(labels, F.col("fp") == F.col("id"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row; component_id is the smallest id reachable over links."""
     marked = cut(with_fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
-    classes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    links = near_links(classes.select("fp"), classes.count(), radius)
-    labels = connected_components(links)
-    joined = classes.join(labels, F.col("fp") == F.col("id"), "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    joined = labelled(marked, radius)
     names = joined.groupBy("label").agg(F.min("first").alias("component_id"))
     named = cut(joined.select("fp", "label").join(names, "label").select("fp", "component_id"), "named")
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id, and one of them where rows repeat that id."""
-    found = cut(near_duplicates(docs, words, radius, seed, id_col, text_col).select("doc_id", "component_id"), "components")
-    gone = small_side(cut(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id")).distinct(), "gone"))
-    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
-    again = small_side(cut(found.groupBy(F.col("doc_id").alias("again_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again_id"), "again"))
+    """``docs`` with one row of each component: that with the smallest id (null only if all are) and, among equal ids, the smallest text hash; of rows equal in both, one."""
+    marked = cut(_hashed(docs, words, seed, id_col, text_col), "fingerprints")
+    labels = labelled(marked, radius)
+    rows = marked.join(labels, "fp").groupBy("label", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+    rows = cut(rows, "components")
+    kept = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th")).alias("first"))
+    judged = cut(rows.join(kept, "label").withColumn("keep", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))).select("doc_id", "th", "n", "keep"), "judged")
+    text = F.col(text_col)
+    same = F.col(id_col).eqNullSafe(F.col("at_id")) & (_text_hash(text) == F.col("at_th"))
+    at = [F.col("doc_id").alias("at_id"), F.col("th").alias("at_th")]
+    gone = small_side(cut(judged.where("not keep").select(*at), "gone"))
+    left = docs.join(gone, same, "left_anti")
+    again = small_side(cut(judged.where("keep and n > 1").select(*at), "again"))
     if again.isEmpty():
         return left
-    same = F.col(id_col).eqNullSafe(F.col("again_id"))
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col]))
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))
+
+
+def _text_hash(text: Column) -> Column:
+    """Equal for equal texts only: a null text is not an empty one."""
+    return F.xxhash64(text, text.isNull())
+
+
+def _hashed(docs: DataFrame, words: int, seed: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, th, fp`` of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.array([fingerprint(t.as_py(), words, seed) for t in b.column(2)], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], names=["doc_id", "th", "fp"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), _text_hash(F.col(text_col)).alias("th"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, th long, fp long")

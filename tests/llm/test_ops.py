@@ -267,6 +267,15 @@ def test_line_runs_of_null_ids(spark):
     assert len(both) == 2 and sum(run in t for t in both) == 1
 
 
+def test_one_of_each_by_row(spark):
+    own = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(6)]
+    rows = [(1, own[0]), (None, own[0]), (None, own[1]), (None, own[2]), (5, own[3]), (6, own[3]), (6, own[4]), (6, own[5]), (7, own[5]), (6, own[4])]
+    left = simhash.one_of_each(docs(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(1, own[0]), (0, own[1]), (0, own[2]), (5, own[3]), (6, own[4]), (6, own[5])])
+    blank = simhash.one_of_each(docs(spark, [None, "", None, " "], [3, 2, 2, None])).collect()
+    assert len(blank) == 1 and blank[0]["doc_id"] == 2
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
 def test_pipeline_follows_its_stages(spark):
     import corpus_pipeline
