@@ -306,16 +306,23 @@ def j5_span_containment_join(spark, d):
     return runs(docs(spark, d), "doc_id").join(protected, "h").select("doc_id", "item_id").distinct()
 
 
+#: The words 2 to 7 of an item have a space on both sides if the item has an eighth.
+ANCHORED = 8
+
+
 @query("select doc_id, item_id from documents d join benchmark b on contains(d.text, b.text)")
 def j7_substring_join(spark, d):
-    """Items are found through their rarest shared anchor: six of its words join by hash, then the whole text decides."""
+    """Items of ANCHORED words or more are found through an anchor, six words that stand whole in any text with the item: they join by hash, then the whole text decides. Shorter items are looked for in every text."""
     b = table(spark, d, "benchmark").select("item_id", F.col("text").alias("item"))
-    anchor = F.array_join(F.slice(F.split("item", " "), 2, 6), " ")
-    items = b.select("item_id", "item", F.xxhash64(anchor).alias("h"))
+    words = F.split("item", " ")
+    anchored = b.where(F.size(words) >= ANCHORED)
+    items = anchored.select("item_id", F.xxhash64(F.array_join(F.slice(words, 2, 6), " ")).alias("h"))
     rows = docs(spark, d).select("doc_id", F.split("text", " ").alias("words"))
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 5, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("words", i, 6), " ")))
-    met = rows.select("doc_id", F.explode(F.array_distinct(runs)).alias("h")).join(items.select("item_id", "h"), "h").select("doc_id", "item_id").distinct()
-    return met.join(docs(spark, d).select("doc_id", "text"), "doc_id").join(b, "item_id").where(F.contains("text", "item")).select("doc_id", "item_id")
+    met = rows.select("doc_id", F.explode(F.array_distinct(runs)).alias("h")).join(items, "h").select("doc_id", "item_id").distinct()
+    long = met.join(docs(spark, d).select("doc_id", "text"), "doc_id").join(anchored, "item_id").where(F.contains("text", "item")).select("doc_id", "item_id")
+    short = docs(spark, d).select("doc_id", "text").join(b.where(F.size(words) < ANCHORED), F.contains("text", "item")).select("doc_id", "item_id")
+    return long.unionByName(short)
 
 
 @query(f"select doc_id, min(doc_id) over (partition by {REPO}) as first_doc from documents")

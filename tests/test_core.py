@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkloom import catalog
 from sparkloom.functions import sensitive
 from sparkloom.operators import prepare, text
+from sparkloom.plans import core
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -72,3 +73,12 @@ def test_components_of_a_long_chain(spark):
     nodes = spark.range(1, 43)
     got = {r["id"]: r["label"] for r in prepare.components(nodes, edges).collect()}
     assert all(got[i] == 1 for i in range(1, 41)) and got[41] == 41 and got[42] == 42
+
+
+def test_substring_join_of_short_items(spark, tmp_path):
+    texts = ["say one two, and go", "x a b c d e f g.", "xnospacesx", "a b c d e f g h\nz", "nothing", None, "1 2 3 4 5 6 7 8"]
+    items = ["one two", "a b c d e f g", "nospaces", "b c d e f g h", "2 3 4 5 6 7 8 9", "", None, "1 2 3 4 5 6 7 8", "a b c d e f g h\nz"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(tuple(r) for r in core.j7_substring_join(spark, str(tmp_path)).collect())
+    assert got == sorted((i, k) for i, t in enumerate(texts) for k, x in enumerate(items) if t is not None and x is not None and x in t)
