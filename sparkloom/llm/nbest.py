@@ -26,9 +26,11 @@ import heapq
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,14 +129,19 @@ class Lattice(dict):
             out.append((best[-1] - total, tuple(ids)))
         return out
 
-    def text(self, text: str) -> tuple[np.ndarray, list[tuple[float, int]], list[list[tuple[int, int]]]]:
-        """Best ids; (score, tokens) of each of the N best; and which pre-token takes which alternative in each."""
+    def text(self, text: str) -> tuple[np.ndarray, list[tuple[float, int]], list[list[Change]]]:
+        """Best ids; (score, tokens) of each of the N best; and what each of them has in place of which best ids."""
         parts = pieces.splitter(self.path).findall(pieces.normalize(self.path, text))
         found = [self[p] for p in parts]
         ids = np.frombuffer(b"".join([f[0] for f in found]), self.kind).astype(np.int32)
-        return ids, *self.chain(parts, found, sum([f[1] for f in found]), len(ids))
-
-    def chain(self, parts: list[str], found: list, score: float, tokens: int) -> tuple[list[tuple[float, int]], list[list[tuple[int, int]]]]:
+        ranked, changes = self.chain(parts, found, sum([f[1] for f in found]), len(ids))
+        size, where = np.dtype(self.kind).itemsize, {}
+        ends = list(accumulate([len(f[0]) // size for f in found], initial=0)) if any(changes) else []
+        for made in changes:
+            where |= {i: (ends[i], ends[i + 1]) for i, _ in made}
+        return ids, ranked, [[(*where[i], own) for i, own in sorted(made)] for made in changes]
+
+    def chain(self, parts: list[str], found: list, score: float, tokens: int) -> tuple[list[tuple[float, int]], list[list[tuple[int, tuple[int, ...]]]]]:
         """N best of a chain of pre-tokens as differences from the best path: A-star over the pre-tokens that can matter."""
         losses = [f[2] for f in found]
         matter = [i for i in heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__) if losses[i] < math.inf]
@@ -149,10 +156,28 @@ class Lattice(dict):
                 continue
             f = best[at]
             for k, (w, own) in enumerate(f):  # what is undecided can lose nothing: the heuristic is exact
-                heapq.heappush(heap, (lost + f[0][0] - w, more + len(own) - len(f[0][1]), made + ((matter[at], k),) if k else made, at + 1))
+                heapq.heappush(heap, (lost + f[0][0] - w, more + len(own) - len(f[0][1]), made + ((matter[at], own),) if k else made, at + 1))
         return ranked, changes
 
 
+#: The best ids [start, stop) that one pre-token has, and the ids in their place.
+Change = tuple[int, int, tuple[int, ...]]
+
+
+def changed(ids: np.ndarray, changes: list[Change]) -> np.ndarray:
+    """The ids of one of the N best segmentations, from the best and its changes in order."""
+    parts, at = [], 0
+    for start, stop, own in changes:
+        parts += [ids[at:start], np.array(own, np.int32)]
+        at = stop
+    return np.concatenate([*parts, ids[at:]]) if parts else ids
+
+
+def digest(ids: np.ndarray) -> int:
+    """A signed 64-bit hash of an id sequence."""
+    return int(np.array(xxhash.xxh3_64_intdigest(np.ascontiguousarray(ids, "<i4").tobytes()), np.uint64).view(np.int64))
+
+
 def _order(edge: tuple) -> tuple:
     return edge[:2]
 
@@ -178,11 +203,14 @@ def shared(path: str, n: int) -> tuple[Lattice, Decoder]:
 
 
 def encode(docs: DataFrame, path: str | None = None, n: int = 4, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
-    """``doc_id, ids, n_tokens, scores, sizes, round_trip``: the best segmentation, score and tokens of the N best, and whether decoding gives the text back."""
+    """``doc_id, ids, changes, n_tokens, scores, sizes, digests, round_trip``: the best segmentation, what each of the N best changes in it, their scores, tokens and digests, and whether decoding gives the text back.
+
+    :func:`changed` gives the ids of any of the N. Without ``keep_ids`` ids and changes are left out.
+    """
     path = path or pieces.model_path()
     kind = docs.schema[id_col].dataType.simpleString()
-    names = ["doc_id", *["ids"] * keep_ids, "n_tokens", "scores", "sizes", "round_trip"]
-    types = {"doc_id": kind, "ids": "array<int>", "n_tokens": "long", "scores": "array<double>", "sizes": "array<long>", "round_trip": "boolean"}
+    names = ["doc_id", *["ids", "changes"] * keep_ids, "n_tokens", "scores", "sizes", "digests", "round_trip"]
+    types = {"doc_id": kind, "ids": "array<int>", "n_tokens": "long", "scores": "array<double>", "sizes": "array<long>", "digests": "array<long>", "changes": "array<array<struct<start: int, stop: int, ids: array<int>>>>", "round_trip": "boolean"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, decoder = shared(path, n)
@@ -193,11 +221,13 @@ def encode(docs: DataFrame, path: str | None = None, n: int = 4, id_col: str = "
                 if t is None:
                     row = dict.fromkeys(names[1:])
                 else:
-                    ids, ranked, _ = lattice.text(t)
-                    row = {"ids": ids, "n_tokens": len(ids), "scores": [s for s, _ in ranked], "sizes": [m for _, m in ranked], "round_trip": decoder.text(ids) == t.replace(pieces.SPACE, " ")}
+                    ids, ranked, changes = lattice.text(t)
+                    row = {"ids": ids, "n_tokens": len(ids), "scores": [s for s, _ in ranked], "sizes": [m for _, m in ranked], "digests": [digest(changed(ids, c)) for c in changes], "round_trip": decoder.text(ids) == t.replace(pieces.SPACE, " ")}
+                    if keep_ids:
+                        row["changes"] = [[{"start": a, "stop": z, "ids": own} for a, z, own in c] for c in changes]
                 for k in rows:
                     rows[k].append(row[k])
-            arrow = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "scores": pa.list_(pa.float64()), "sizes": pa.list_(pa.int64()), "round_trip": pa.bool_()}
+            arrow = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "scores": pa.list_(pa.float64()), "sizes": pa.list_(pa.int64()), "digests": pa.list_(pa.int64()), "changes": pa.list_(pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("ids", pa.list_(pa.int32()))]))), "round_trip": pa.bool_()}
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(rows[k], arrow[k]) for k in rows)], names=names)
 
     schema = ", ".join(f"{k} {types[k]}" for k in names)

@@ -133,6 +133,24 @@ def test_encode_and_decode_round_trip(spark):
     assert nbest.encode(docs(spark, EMPTY)).count() == 0
 
 
+def test_encode_returns_every_segmentation(spark):
+    texts = ["the cat.", "in on", "Then,no", "", "the house and the garden, then on", None, "aaaa bbbb ①é"]
+    lattice, decoder = nbest.Lattice(PATH, 4), nbest.Decoder(PATH)
+    score = {i: w for i, w in lattice.vocabulary.values()}
+    rows = {r["doc_id"]: r for r in nbest.encode(docs(spark, texts)).collect()}
+    brief = {r["doc_id"]: r for r in nbest.encode(docs(spark, texts), keep_ids=False).collect()}
+    assert rows[5]["changes"] is None and rows[5]["digests"] is None
+    for i, t in enumerate(texts):
+        if t is not None:
+            r = rows[i]
+            found = [nbest.changed(np.array(r["ids"], np.int32), [tuple(c) for c in made]).tolist() for made in r["changes"]]
+            assert len({tuple(f) for f in found}) == len(found) == len(r["scores"]) and [len(f) for f in found] == r["sizes"]
+            assert {decoder.text(f) for f in found} == {t}
+            assert [sum(score.get(x, nbest.BYTE_SCORE) for x in f) for f in found] == pytest.approx(r["scores"])
+            assert brief[i]["digests"] == r["digests"] == [nbest.digest(np.array(f, np.int32)) for f in found]
+    assert len(rows[4]["scores"]) == 4
+
+
 def brute_fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
