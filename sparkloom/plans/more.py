@@ -242,6 +242,17 @@ def a5_jaccard(spark, d):
     return a.join(b, F.col("v") == F.col("u") + 1).select("u", "v", common.alias("common"), (100 * common > 85 * (F.size("su") + F.size("sv") - common)).alias("near"))
 
 
+@query(f"select u, v, len(list_intersect(a.sh, b.sh))::int as common, (100 * len(list_intersect(a.sh, b.sh)) > 85 * (len(a.sh) + len(b.sh) - len(list_intersect(a.sh, b.sh)))) as near from (select distinct a.doc_id u, b.doc_id v from {BANDED} a join {BANDED} b using (band, key) where a.doc_id < b.doc_id) join {PREP} a on a.doc_id = u join {PREP} b on b.doc_id = v")
+def a5b_candidate_jaccard(spark, d):
+    """Overlap of all pairs that meet in a band."""
+    keys = a4_lsh_band_keys(spark, d)
+    pairs = keys.withColumnRenamed("doc_id", "u").join(keys.withColumnRenamed("doc_id", "v"), ["band", "key"]).where("u < v").select("u", "v").distinct()
+    rows = prepare.prepared(docs(spark, d)).select("doc_id", "shingles")
+    a, b = rows.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), rows.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
+    common = F.size(F.array_intersect("su", "sv"))
+    return pairs.join(a, "u").join(b, "v").select("u", "v", common.alias("common"), (100 * common > 85 * (F.size("su") + F.size("sv") - common)).alias("near"))
+
+
 @query(f"select d.doc_id, b.item_id from (select doc_id, {TOKENS} tk from documents) d join (select item_id, {TOKENS} tk from benchmark) b on d.tk = b.tk where len(b.tk) < 50")
 def j6_short_sequence_join(spark, d):
     b = table(spark, d, "benchmark").select("item_id", tk_of().alias("bt")).where(F.size("bt") < 50).select("item_id", "bt", F.xxhash64("bt").alias("h"))
@@ -344,6 +355,14 @@ def w15_input_target_shift(spark, d):
     return token_docs(spark, d).where(n > 0).select("doc_id", hashed(F.slice(ids, 1, n)).alias("inputs"), hashed(F.slice(ids, 2, n)).alias("targets"))
 
 
+@query(f"select a as left_token, b as right_token, count(*)::bigint as n from (select unnest(tk[:-2]) a, unnest(tk[2:]) b from (select {TOKENS} tk from documents) where len(tk) > 1) group by all")
+def a15b_all_pair_counts(spark, d):
+    tk = tk_of()
+    rows = docs(spark, d).select(tk.alias("tk")).where(F.size("tk") > 1)
+    pairs = rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("tk") - 1), lambda i: F.struct(F.get("tk", i - 1).alias("left_token"), F.get("tk", i).alias("right_token")))).alias("p"))
+    return pairs.select("p.*").groupBy("left_token", "right_token").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- order and samples
 
 
@@ -364,6 +383,16 @@ def t3b_hash_order(spark, d):
     return rows.withColumn("at", at).join(F.broadcast(before), "bucket").select("first_target", (F.col("b") + F.col("at")).alias("ord"))
 
 
+@query(f"select first_id as first_target, row_number() over (order by sha256('span' || first_id::varchar), first_id) - 1 as ord from ({WINDOWS}) where split = 'train'")
+def t3c_hash_order_spans(spark, d):
+    """The order of t3b over all spans of the train split."""
+    rows = core.w4_sequence_windows(spark, d).where("split = 'train'").select(F.col("first_id").alias("first_target"))
+    rows = rows.withColumn("h", F.sha2(F.concat(F.lit("span"), F.col("first_target").cast("string")), 256)).withColumn("bucket", F.substring("h", 1, 4))
+    before = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b"))
+    at = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "first_target")) - 1
+    return rows.withColumn("at", at).join(F.broadcast(before), "bucket").select("first_target", (F.col("b") + F.col("at")).alias("ord"))
+
+
 @query("select true as from_zero, true as dense, true as complete, true as aligned, true as partial_last, true as covered")
 def t4_span_order_validate(spark, d):
     n = tokened(spark, d).where("split = 'train'").agg(F.sum("stored")).first()[0]
@@ -458,6 +487,14 @@ def m19_bpe_train(spark, d):
     return spark.createDataFrame([(bpe.FIRST_MERGE + i, a, b) for i, (a, b) in enumerate(rules)], "id int, left_id int, right_id int")
 
 
+@query("select doc_id, len(ids)::bigint as n, sha256(array_to_string(ids, ' ')) as digest from (select doc_id, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: 4 + ('0x' || x)::int) ids from documents where text is not null)")
+def m18b_byte_tokenize_all(spark, d):
+    """Every byte of every text."""
+    ids = F.transform(F.regexp_extract_all(F.hex(F.col("text").cast("binary")), F.lit(".."), F.lit(0)), lambda x: 4 + F.conv(x, 16, 10).cast("long"))
+    rows = docs(spark, d).where("text is not null").select("doc_id", ids.alias("ids"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n"), F.sha2(F.array_join("ids", " "), 256).alias("digest"))
+
+
 @query()
 def m16_bpe_encode(spark, d):
     found = bpe.encode(docs(spark, d), rules_of(spark, d))

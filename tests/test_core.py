@@ -1,5 +1,6 @@
 """The library's queries against their SQL on the smallest tables, and fixture vectors of single operators."""
 
+import hashlib
 import os
 
 import duckdb
@@ -82,3 +83,12 @@ def test_substring_join_of_short_items(spark, tmp_path):
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = sorted(tuple(r) for r in core.j7_substring_join(spark, str(tmp_path)).collect())
     assert got == sorted((i, k) for i, t in enumerate(texts) for k, x in enumerate(items) if t is not None and x is not None and x in t)
+
+
+def test_whole_texts_and_rare_pairs(spark, tmp_path):
+    texts = ["short", "é and more than eight bytes", "", None]
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: catalog.queries()[name](spark, str(tmp_path)).collect()
+    whole = lambda t: [str(4 + x) for x in t.encode()]
+    assert {(r["doc_id"], r["n"], r["digest"]) for r in run("m18b_byte_tokenize_all")} == {(i, len(whole(t)), hashlib.sha256(" ".join(whole(t)).encode()).hexdigest()) for i, t in enumerate(texts) if t is not None}
+    assert ("than", "eight", 1) in {tuple(r) for r in run("a15b_all_pair_counts")}
