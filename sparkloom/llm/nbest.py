@@ -16,7 +16,8 @@ fixed by the search: longer last pieces first.
 
 Defined cases: a null text has null results; an empty text has no pieces and
 one segmentation of score 0; repeated rows are encoded each; a text of any
-length is encoded whole. Decoding gives the text back; the space mark itself,
+length is encoded whole; an empty table gives an empty result; extra columns
+are ignored, whatever their names. Decoding gives the text back; the space mark itself,
 where a text holds it, comes back as a space, as the library has it.
 """
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -37,6 +38,8 @@ from pyspark.sql import functions as F
 from sparkloom.llm import pieces
 
 MEMO = 400_000
+#: Pre-tokens whose N best are kept.
+SEARCHED = 20_000
 #: Score of one byte where no piece covers a character: below every piece of the model.
 BYTE_SCORE = -100_000.0
 
@@ -48,39 +51,42 @@ class Lattice(dict):
         super().__init__()
         self.path, self.n = path, n
         self.vocabulary = pieces.vocabulary(path)
-        self.longest = max(map(len, self.vocabulary))
+        self.automaton = pieces.automaton(path)
+        self.single = frozenset(s for s in self.vocabulary if len(s) == 1)
         self.byte_ids = pieces.byte_ids(path)
         self.kind = np.uint16 if len(self.vocabulary) + 300 < 1 << 16 else np.uint32
+        self.searched: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
+
+    def edges(self, s: str) -> Iterable[tuple[int, tuple]]:
+        """(last character, (length, id or ids of bytes, score)) of every edge, by where it ends and the longer first."""
+        found = self.automaton.iter(s)
+        if self.single.issuperset(s):
+            return found
+        bare = [(at, c.encode("utf-8", "surrogatepass")) for at, c in enumerate(s) if c not in self.single]
+        return sorted([*found, *((at, (1, tuple(self.byte_ids[b] for b in raw), BYTE_SCORE * len(raw))) for at, raw in bare)], key=_place)
 
     def __missing__(self, s: str) -> tuple:
         """Forward pass with the two best scores of each position: the best path, and what the second best loses."""
-        get, longest, least = self.vocabulary.get, self.longest, -math.inf
+        least = -math.inf
         first, second, back = [0.0], [least], [None]
-        for end in range(1, len(s) + 1):
-            x = y = least
-            path = piece = None
-            for start in range(end - longest if end > longest else 0, end):
-                piece = get(s[start:end])
-                if piece is not None:
-                    w = piece[1]
-                    t = first[start] + w
-                    if t > x:
-                        y = max(x, second[start] + w)
-                        x, path = t, (start, piece[0])
-                    elif t > y:
-                        y = t
-            if piece is None:
-                raw = s[end - 1].encode("utf-8", "surrogatepass")
-                w = BYTE_SCORE * len(raw)
-                t = first[end - 1] + w
-                if t > x:
-                    y = max(x, second[end - 1] + w)
-                    x, path = t, (end - 1, tuple(self.byte_ids[b] for b in raw))
-                elif t > y:
-                    y = t
-            first.append(x)
-            second.append(y)
-            back.append(path)
+        x = y = least
+        at, path = 0, None
+        for end, (size, own, w) in self.edges(s):
+            if end != at:
+                first.append(x)
+                second.append(y)
+                back.append(path)
+                x = y = least
+                at = end
+            start = end + 1 - size
+            t = first[start] + w
+            if t > x:
+                u = second[start] + w
+                y = x if x > u else u
+                x, path = t, (start, own)
+            elif t > y:
+                y = t
+        back.append(path)
         ids, at = [], len(s)
         while at:
             at, own = back[at]
@@ -92,21 +98,20 @@ class Lattice(dict):
 
     def search(self, s: str) -> list[tuple[float, tuple[int, ...]]]:
         """The N best (score, ids) of a pre-token, best first."""
-        get, longest = self.vocabulary.get, self.longest
+        if s in self.searched:
+            return self.searched[s]
         best = [0.0]  # Viterbi score from the start to each position
         into: list[list] = [[]]  # (minus score, start, ids) of the edges that end there; the first is the best
-        for end in range(1, len(s) + 1):
-            edges = []
-            for start in range(end - 1, max(-1, end - longest - 1), -1):
-                piece = get(s[start:end])
-                if piece:
-                    edges.append((-(best[start] + piece[1]), start, piece[0]))
-            if not edges or edges[0][1] != end - 1:
-                raw = s[end - 1].encode("utf-8", "surrogatepass")
-                edges.append((-(best[end - 1] + BYTE_SCORE * len(raw)), end - 1, tuple(self.byte_ids[b] for b in raw)))
-            edges.sort(key=_order)
-            into.append(edges)
-            best.append(-edges[0][0])
+        for end, (size, own, w) in self.edges(s):
+            if end == len(into) - 1:
+                if end:
+                    into[-1].sort(key=_order)
+                    best.append(-into[-1][0][0])
+                into.append([])
+            start = end + 1 - size
+            into[-1].append((-(best[start] + w), start, own))
+        into[-1].sort(key=_order)
+        best.append(-into[-1][0][0])
         out: list[tuple[float, tuple[int, ...]]] = []
         heap: list[tuple] = [(0.0, 0, len(s), 0, ())]  # (loss, serial, position, rank of the edge to take there, what follows)
         serial = 0
@@ -127,12 +132,15 @@ class Lattice(dict):
                 own, tail = tail
                 ids.extend(own) if type(own) is tuple else ids.append(own)
             out.append((best[-1] - total, tuple(ids)))
+        if len(self.searched) >= SEARCHED:
+            self.searched.clear()
+        self.searched[s] = out
         return out
 
     def text(self, text: str) -> tuple[np.ndarray, list[tuple[float, int]], list[list[Change]]]:
         """Best ids; (score, tokens) of each of the N best; and what each of them has in place of which best ids."""
         parts = pieces.splitter(self.path).findall(pieces.normalize(self.path, text))
-        found = [self[p] for p in parts]
+        found = list(map(self.__getitem__, parts))
         ids = np.frombuffer(b"".join([f[0] for f in found]), self.kind).astype(np.int32)
         ranked, changes = self.chain(parts, found, sum([f[1] for f in found]), len(ids))
         size, where = np.dtype(self.kind).itemsize, {}
@@ -143,8 +151,10 @@ class Lattice(dict):
 
     def chain(self, parts: list[str], found: list, score: float, tokens: int) -> tuple[list[tuple[float, int]], list[list[tuple[int, tuple[int, ...]]]]]:
         """N best of a chain of pre-tokens as differences from the best path: A-star over the pre-tokens that can matter."""
-        losses = [f[2] for f in found]
-        matter = [i for i in heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__) if losses[i] < math.inf]
+        losses = np.array([f[2] for f in found])
+        few = min(self.n - 1, len(losses))
+        near = np.flatnonzero(losses <= np.partition(losses, few - 1)[few - 1]) if few else losses
+        matter = [i for i in near[np.argsort(losses[near], kind="stable")[:few]].tolist() if losses[i] < math.inf] if few else []
         best = [self.search(parts[i]) for i in matter]
         heap: list[tuple] = [(0.0, 0, (), 0)]  # (loss, more tokens, changes, pre-tokens decided)
         ranked, changes = [], []
@@ -182,6 +192,10 @@ def _order(edge: tuple) -> tuple:
     return edge[:2]
 
 
+def _place(edge: tuple) -> tuple:
+    return edge[0], -edge[1][0]
+
+
 class Decoder:
     def __init__(self, path: str):
         sp = pieces.processor(path)
@@ -202,15 +216,16 @@ def shared(path: str, n: int) -> tuple[Lattice, Decoder]:
     return Lattice(path, n), Decoder(path)
 
 
-def encode(docs: DataFrame, path: str | None = None, n: int = 4, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, n: int = 4, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, library: bool = False) -> DataFrame:
     """``doc_id, ids, changes, n_tokens, scores, sizes, digests, round_trip``: the best segmentation, what each of the N best changes in it, their scores, tokens and digests, and whether decoding gives the text back.
 
-    :func:`changed` gives the ids of any of the N. Without ``keep_ids`` ids and changes are left out.
+    :func:`changed` gives the ids of any of the N. Without ``keep_ids`` ids and changes are left out. With ``library``, ``library_ids``
+    holds the ids of the model's own encoder, which merges pairs where this search sums scores.
     """
     path = path or pieces.model_path()
     kind = docs.schema[id_col].dataType.simpleString()
-    names = ["doc_id", *["ids", "changes"] * keep_ids, "n_tokens", "scores", "sizes", "digests", "round_trip"]
-    types = {"doc_id": kind, "ids": "array<int>", "n_tokens": "long", "scores": "array<double>", "sizes": "array<long>", "digests": "array<long>", "changes": "array<array<struct<start: int, stop: int, ids: array<int>>>>", "round_trip": "boolean"}
+    names = ["doc_id", *["ids", "changes"] * keep_ids, "n_tokens", "scores", "sizes", "digests", "round_trip", *["library_ids"] * library]
+    types = {"doc_id": kind, "ids": "array<int>", "library_ids": "array<int>", "n_tokens": "long", "scores": "array<double>", "sizes": "array<long>", "digests": "array<long>", "changes": "array<array<struct<start: int, stop: int, ids: array<int>>>>", "round_trip": "boolean"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, decoder = shared(path, n)
@@ -223,11 +238,13 @@ def encode(docs: DataFrame, path: str | None = None, n: int = 4, id_col: str = "
                 else:
                     ids, ranked, changes = lattice.text(t)
                     row = {"ids": ids, "n_tokens": len(ids), "scores": [s for s, _ in ranked], "sizes": [m for _, m in ranked], "digests": [digest(changed(ids, c)) for c in changes], "round_trip": decoder.text(ids) == t.replace(pieces.SPACE, " ")}
+                    if library:
+                        row["library_ids"] = pieces.processor(path).encode(t)
                     if keep_ids:
                         row["changes"] = [[{"start": a, "stop": z, "ids": own} for a, z, own in c] for c in changes]
                 for k in rows:
                     rows[k].append(row[k])
-            arrow = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "scores": pa.list_(pa.float64()), "sizes": pa.list_(pa.int64()), "digests": pa.list_(pa.int64()), "changes": pa.list_(pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("ids", pa.list_(pa.int32()))]))), "round_trip": pa.bool_()}
+            arrow = {"ids": pa.list_(pa.int32()), "library_ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "scores": pa.list_(pa.float64()), "sizes": pa.list_(pa.int64()), "digests": pa.list_(pa.int64()), "changes": pa.list_(pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("ids", pa.list_(pa.int32()))]))), "round_trip": pa.bool_()}
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(rows[k], arrow[k]) for k in rows)], names=names)
 
     schema = ", ".join(f"{k} {types[k]}" for k in names)

@@ -6,6 +6,7 @@ import re
 import string
 from functools import lru_cache
 
+import ahocorasick
 import public_tokenizers
 import sentencepiece
 
@@ -30,6 +31,16 @@ def vocabulary(path: str) -> dict[str, tuple[int, float]]:
     return {sp.id_to_piece(i): (i, sp.get_score(i)) for i in ids if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
 
 
+@lru_cache(maxsize=4)
+def automaton(path: str) -> ahocorasick.Automaton:
+    """Finds every ordinary piece in a string, by its last character and the longer first, as (length, id, score)."""
+    found = ahocorasick.Automaton()
+    for piece, (i, score) in vocabulary(path).items():
+        found.add_word(piece, (len(piece), i, score))
+    found.make_automaton()
+    return found
+
+
 @lru_cache(maxsize=4)
 def byte_ids(path: str) -> tuple[int, ...]:
     sp = processor(path)

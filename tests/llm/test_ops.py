@@ -126,6 +126,46 @@ def test_nbest_is_exact(text):
     assert nbest.Decoder(PATH).text(ids) == text
 
 
+def brute_segmentations(lattice, s):
+    """(score, ids) of every segmentation."""
+    found = []
+
+    def go(i, score, ids):
+        if i == len(s):
+            found.append((score, ids))
+            return
+        for j in range(i + 1, len(s) + 1):
+            piece = lattice.vocabulary.get(s[i:j])
+            if piece:
+                go(j, score + piece[1], (*ids, piece[0]))
+        if s[i] not in lattice.vocabulary:
+            raw = s[i].encode()
+            go(i + 1, score + len(raw) * nbest.BYTE_SCORE, (*ids, *(lattice.byte_ids[b] for b in raw)))
+
+    go(0, 0.0, ())
+    return sorted(found, key=lambda f: -f[0])
+
+
+@pytest.mark.parametrize("text", ["the cat.", "in on", "aaaaaa", "①é he", "Then,no", "the\nthe\nthe", "he he he he"])
+def test_nbest_ids_match_brute_force(text):
+    """Every segmentation above the N-th score comes out with its ids, the rest of the N are among those that tie there, and the order is by score."""
+    n = 6
+    lattice = nbest.Lattice(PATH, n)
+    ids, ranked, changes = lattice.text(text)
+    got = [(score, tuple(nbest.changed(ids, c).tolist())) for (score, _), c in zip(ranked, changes, strict=True)]
+    want = brute_segmentations(lattice, pieces.normalize(PATH, text))
+    assert [s for s, _ in got] == [s for s, _ in want[:n]] and len(set(got)) == len(got)
+    last = got[-1][0]
+    assert {g for g in got if g[0] > last} == {w for w in want if w[0] > last} and set(got) <= set(want)
+    assert got[0][1] == tuple(ids.tolist())
+
+
+def test_library_ids_stand_beside(spark):
+    texts = ["the cat sat there.", "", None, "①é of it"]
+    rows = {r["doc_id"]: r["library_ids"] for r in nbest.encode(docs(spark, texts), library=True).collect()}
+    assert rows == {i: None if t is None else pieces.processor(PATH).encode(t) for i, t in enumerate(texts)}
+
+
 def test_encode_and_decode_round_trip(spark):
     out = nbest.encode(docs(spark, MESSY))
     back = {r["doc_id"]: r["text"] for r in nbest.decode(out).collect()}
