@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import zlib
 
 import numpy as np
@@ -97,6 +98,81 @@ def test_items_dense_in_slots_and_longer_names(spark):
     assert got == {(0, 1, 10, 10), (1, 1, 10, 10), (2, 2, 17, 17)}
 
 
+def plain_templates(text):
+    """The five readings of a text, token by token: lists of (what must be equal, words, whether it is a slot, whether it holds a word)."""
+    tokens = [t for t in re.findall(r"\d+(?:[.,]\d+)*|\w+|[.!?\n]|[^\w\s'’-]", text or "")]
+    words, start, gap, before = [], True, False, None
+    for t in tokens:
+        if t in ".!?\n":
+            start, before = True, None
+        elif not re.match(r"\w", t):
+            gap = True
+        else:
+            kind = "N" if t[0].isdigit() else "U" if t.lower() in decontaminate.UNITS else "C" if t[0] != t[0].lower() else "L"
+            words.append((t.lower(), kind, start, gap, kind == "U" and before == "N"))
+            start, gap, before = False, False, kind
+    names = {w for w, kind, start, _, _ in words if kind == "C" and not start}
+    for reading in range(5):
+        out = []
+        for w, kind, start, gap, measure in words:
+            name = kind == "C" and (reading in (1, 4) or (reading in (0, 3) and (not start or w in names)))
+            if reading != 2 and name:
+                if reading in (3, 4) and out and out[-1][0] == "<C>" and not start and not gap:
+                    out[-1] = ("<C>", out[-1][1] + [w], True, True)
+                else:
+                    out.append(("<C>", [w], True, True))
+            elif reading != 2 and (kind == "N" or measure):
+                out.append((f"<{kind}>", [w], True, False))
+            else:
+                out.append((w, [w], False, not (kind == "N" or measure)))
+        yield reading, out
+
+
+def brute_leaks(texts, items, window=10, enough=13):
+    """Every item against every text at every shift."""
+    found = {}
+    for d, text in enumerate(texts):
+        for item, own in items:
+            for (_, a), (_, b) in zip(plain_templates(text), plain_templates(own), strict=True):
+                n = min(window, len(b))
+                size = sum(len(x[1]) for x in b)
+                ends = [0]
+                for x in b:
+                    ends.append(ends[-1] + len(x[1]))
+                for shift in range(-len(b), len(a)) if n else ():
+                    covered, values = set(), {}
+                    for at in range(len(b) - n + 1):
+                        i = at + shift
+                        own_run, run = b[at : at + n], a[i : i + n] if i >= 0 else []
+                        if len(run) == n and [x[0] for x in run] == [x[0] for x in own_run] and any(not x[2] and x[3] for x in own_run):
+                            covered |= set(range(ends[at], ends[at + n]))
+                            for x, y in zip(own_run, run, strict=True):
+                                if x[2]:
+                                    values.setdefault(" ".join(x[1]), set()).add(" ".join(y[1]))
+                    if len(covered) >= min(enough, size) and covered and all(len(v) == 1 for v in values.values()):
+                        changed = sum(v != {k} for k, v in values.items())
+                        found[d, item] = max(found.get((d, item), (0, 0, 0)), (len(covered), -changed, size))
+    return {(d, i, m, size, -same) for (d, i), (m, same, size) in found.items()}
+
+
+@pytest.mark.parametrize("sieve", [decontaminate.SIEVE, 0])
+def test_leaks_match_brute_force(spark, monkeypatch, sieve):
+    """Random texts of few words, so that windows meet often; messy texts, repeated ids and items of one word among them."""
+    monkeypatch.setattr(decontaminate, "SIEVE", sieve)
+    rng = random.Random(11)
+    bag = "the old man saw Alice Bob Lee 5 7 12 km kg red . , mRNA of and".split()
+    write = lambda n: " ".join(rng.choice(bag) for _ in range(n))
+    items = [(k, write(rng.choice([1, 3, 12, 16, 22]))) for k in range(14)] + [(3, write(15)), (20, None), (21, ""), (22, "5 7"), (23, "harbour")]
+    texts = [write(rng.choice([5, 40, 120])) for _ in range(20)]
+    for k in range(14):
+        item = items[k][1]
+        texts += [write(8) + " " + item + " " + write(8), item.replace("Alice", "Maria Jane").replace("5", "11"), "zzz qqq " + item.lower() + " zzz"]
+    texts += [*MESSY, "a Harbour wall"]
+    frame = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, h int")
+    got = {tuple(r[k] for k in ("doc_id", "item_id", "matched_tokens", "item_tokens", "changed_slots")) for r in decontaminate.leaks(docs(spark, texts), frame).collect()}
+    assert got == brute_leaks(texts, [(i, t) for i, t in items if t]) and len(got) > 40
+
+
 def brute_paths(lattice, s):
     found = []
 
