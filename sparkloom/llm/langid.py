@@ -7,7 +7,7 @@ its kernels with the landmarks times the inverse root of the landmarks' own
 kernel matrix, on which one-versus-rest kernel ridge regression is solved.
 
 Training uses a bounded sample: about ``per_class`` texts per language, chosen
-by hash, of which ``landmarks`` are landmarks; both bounds are parameters.
+by hash, of the ``classes`` languages with most texts; ``landmarks`` of them are landmarks; the bounds are parameters.
 Everything else covers all rows and whole texts. Since a kernel with a landmark
 is a sum over the n-grams of a text, landmarks, Nyström map and ridge weights
 fold into one matrix, and a batch of texts is scored as a product of its
@@ -15,8 +15,9 @@ presence matrix with that matrix. N-grams are packed exactly into 63 bits.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
 ties go to the language whose name sorts first; with no labelled rows every
-text is ``und``; repeated rows are scored each; an empty table gives an empty
-result; extra columns are ignored.
+text is ``und``; rows that repeat id, text and language are learnt from once and scored
+each; rows without an id are scored, but never learnt from; very long texts are
+scored whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 
 ORDERS = 3
 BATCH = 64
+#: Most languages that are learnt.
+CLASSES = 200
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -93,17 +96,16 @@ def train(texts: list[str], langs: list[str], landmarks: int = 256, ridge: float
     return Model(names, vocabulary, (marks.astype(np.float64) @ nystrom @ solved).astype(np.float32))
 
 
-def sample(docs: DataFrame, per_class: int, id_col: str, text_col: str, lang_col: str) -> tuple[list[str], list[str]]:
-    """About ``per_class`` labelled texts of each language, by the hash of their ids."""
-    usable = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
-    counts = {r[0]: r[1] for r in usable.groupBy(lang_col).agg(F.count(F.lit(1))).collect()}
-    dice = F.pmod(F.xxhash64(F.col(id_col), F.lit("language sample")), F.lit(1_000_000))
-    share = F.lit(0)
-    for name, n in sorted(counts.items()):
-        share = F.when(F.col(lang_col) == name, F.lit(min(1_000_000, -(-per_class * 1_000_000 // n)))).otherwise(share)
-    rows = usable.where(dice < share).select(dice.alias("d"), id_col, text_col, lang_col).collect()
-    rows.sort(key=lambda r: (r[0], r[1], r[2]))
-    return [r[2] for r in rows], [r[3] for r in rows]
+def sample(docs: DataFrame, per_class: int, id_col: str, text_col: str, lang_col: str, classes: int = CLASSES) -> tuple[list[str], list[str]]:
+    """About ``per_class`` labelled texts of each of the ``classes`` languages with most of them, by the hash of id and text."""
+    lang, text = F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
+    usable = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))).select(F.col(id_col).alias("id"), text, lang)
+    shares = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(classes)
+    shares = shares.select("lang", F.ceil(F.lit(per_class * 1_000_000) / F.col("n")).alias("share"))
+    dice = F.pmod(F.xxhash64("id", "text", F.lit("language sample")), F.lit(1_000_000))
+    rows = usable.withColumn("dice", dice).join(F.broadcast(shares), "lang").where("dice < share").select("dice", "id", "text", "lang").distinct().collect()
+    rows.sort(key=lambda r: (r["dice"], r["id"], r["text"], r["lang"]))
+    return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 
 def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

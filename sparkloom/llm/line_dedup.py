@@ -24,7 +24,9 @@ Defined cases: a null text stays null and an empty text empty; rows of one
 doc_id with equal texts are one document in several rows and are treated
 alike; rows of one doc_id with different texts are ordered by the hash of
 the text; a null id comes before all others; a document may lose all its lines
-and stays as an empty text; extra columns pass through.
+and stays as an empty text; a very long text is an array of its lines, cut whole;
+an empty table gives an empty result; extra columns pass through, and where
+one has the name of a result column, that gets underscores in front.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.llm.names import fresh, quoted
 from sparkloom.scratch import cut, drop, small_side
 
 DOC = ["doc_id", "th"]
@@ -117,17 +120,19 @@ def _repeats(named: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with later copies of repeated line runs cut out of the text, and ``n_lines`` and ``n_removed`` added."""
-    gone = later_copies(docs, min_words, id_col, text_col)
-    runs = small_side(cut(gone.groupBy(*DOC).agg(F.sort_array(F.collect_set(F.struct("a", "z"))).alias("gone")), "gone"))
-    runs = runs.select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"), "gone")
-    text = F.col(text_col)
-    joined = docs.join(runs, F.col(id_col).eqNullSafe(F.col("gone_id")) & (F.xxhash64(text) == F.col("gone_th")) & text.isNotNull(), "left")
-    left = F.filter(lines_of(text), lambda x, i: ~F.exists("gone", lambda g: (i >= g["a"]) & (i < g["z"])))
-    joined = joined.withColumn("left_lines", F.when(F.col("gone").isNotNull(), left))
+    """``docs`` with later copies of repeated line runs cut out of the text, and ``n_lines`` and ``n_removed`` (by :func:`fresh`) added."""
+    gone_id, gone_th, gone, kept = (fresh(c, docs.columns) for c in ("gone_id", "gone_th", "gone", "left_lines"))
+    n_lines, n_removed = (fresh(c, docs.columns) for c in ("n_lines", "n_removed"))
+    copies = later_copies(docs, min_words, id_col, text_col)
+    runs = copies.groupBy(*DOC).agg(F.sort_array(F.collect_set(F.struct("a", "z"))).alias(gone)).withColumnsRenamed({"doc_id": gone_id, "th": gone_th})
+    runs = small_side(cut(runs, "gone"))
+    text = F.col(quoted(text_col))
+    joined = docs.join(runs, F.col(quoted(id_col)).eqNullSafe(F.col(gone_id)) & (F.xxhash64(text) == F.col(gone_th)) & text.isNotNull(), "left")
+    left = F.filter(lines_of(text), lambda x, i: ~F.exists(gone, lambda g: (i >= g["a"]) & (i < g["z"])))
+    joined = joined.withColumn(kept, F.when(F.col(gone).isNotNull(), left))
     size = F.when(text.isNull(), 0).otherwise(F.size(lines_of(text)))
-    out = [F.when(F.col("left_lines").isNotNull(), F.array_join("left_lines", "\n")).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*out, size.cast("long").alias("n_lines"), F.when(F.col("left_lines").isNotNull(), size - F.size("left_lines")).otherwise(0).cast("long").alias("n_removed"))
+    out = [F.when(F.col(kept).isNotNull(), F.array_join(kept, "\n")).otherwise(text).alias(c) if c == text_col else F.col(quoted(c)) for c in docs.columns]
+    return joined.select(*out, size.cast("long").alias(n_lines), F.when(F.col(kept).isNotNull(), size - F.size(kept)).otherwise(0).cast("long").alias(n_removed))
 
 
 ORACLE = r"""

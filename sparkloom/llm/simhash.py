@@ -11,9 +11,11 @@ keeps its size as the table grows; a cell that is still large (many near
 copies) is cut into tiles whose pairs go to separate tasks.
 
 Defined cases: null, empty and blank texts have fingerprint zero and link like
-any other; a text of fewer words than a shingle is one shingle; repeated rows
-share a class; rows with a null id are members but never name a component
-unless all are null; an empty table gives an empty result.
+any other; a text of fewer words than a shingle is one shingle; very long texts
+are hashed whole; a bit that exactly half of the shingles have is 0; repeated
+rows share a class; rows with a null id are members but never name a component
+unless all are null; an empty table gives an empty result; extra columns,
+whatever their names, are ignored by ``near_duplicates`` and kept by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm.components import connected_components
-from sparkloom.scratch import cut, small_side
+from sparkloom.llm.names import fresh
+from sparkloom.scratch import cut, drop, small_side
 
 CELL = 2048
 TILE = 256
@@ -190,12 +193,15 @@ def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, seed: int = 42
     rows = cut(rows, "components")
     kept = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th")).alias("first"))
     judged = cut(rows.join(kept, "label").withColumn("keep", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))).select("doc_id", "th", "n", "keep"), "judged")
-    text = F.col(text_col)
-    same = F.col(id_col).eqNullSafe(F.col("at_id")) & (_text_hash(text) == F.col("at_th"))
-    at = [F.col("doc_id").alias("at_id"), F.col("th").alias("at_th")]
+    text, at_id, at_th = F.col(text_col), fresh("at_id", docs.columns), fresh("at_th", docs.columns)
+    same = F.col(id_col).eqNullSafe(F.col(at_id)) & (_text_hash(text) == F.col(at_th))
+    at = [F.col("doc_id").alias(at_id), F.col("th").alias(at_th)]
     gone = small_side(cut(judged.where("not keep").select(*at), "gone"))
     left = docs.join(gone, same, "left_anti")
     again = small_side(cut(judged.where("keep and n > 1").select(*at), "again"))
+    drop(marked)
+    drop(rows)
+    drop(judged)
     if again.isEmpty():
         return left
     return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))

@@ -14,7 +14,11 @@ Training texts are bounded samples by hash: about ``positives`` and
 Defined cases: null and empty texts get the score of a text without features;
 rows without a label, or with a null one, are unlabelled; with no confirmed
 toxic row every score is 0; several labels of one id count as toxic if one
-does; an empty table gives an empty result; extra columns are ignored.
+does; rows that repeat an id and text are learnt from once and scored each;
+rows without an id are scored, but never learnt from; very long texts are scored
+whole; features of equal evidence are taken by their number; an empty table gives
+an empty result; extra columns pass through, and where one has the name of a result
+column, that gets underscores in front.
 """
 
 from __future__ import annotations
@@ -28,8 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkloom.llm.langid import held_out
+from sparkloom.llm.names import fresh
 from sparkloom.scratch import cut as cut_table
 from sparkloom.scratch import small_side
 
@@ -149,31 +155,34 @@ def samples(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int,
     """Confirmed toxic texts, unlabelled texts and the class prior, none of them from held-out rows."""
     marked = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).alias("toxic")).where(~held_out("label_id"))
     n, toxic = marked.agg(F.count(F.lit(1)), F.sum((F.col("toxic") == 1).cast("long"))).first()
-    total = docs.where(~held_out(id_col)).count()
-    dice = F.pmod(F.xxhash64(F.col(id_col), F.lit("toxicity sample")), F.lit(1_000_000))
-    open_rows = docs.where(~held_out(id_col)).select(dice.alias("dice"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    dice = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit("toxicity sample")), F.lit(1_000_000))
+    open_rows = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(dice.alias("dice"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     within = lambda k, of: F.col("dice") < min(1_000_000, -(-k * 1_000_000 // max(1, of)))
-    share = F.pmod(F.xxhash64("label_id", F.lit("toxicity sample")), F.lit(1_000_000)) < min(1_000_000, -(-positives * 1_000_000 // max(1, toxic or 0)))
-    confirmed = small_side(cut_table(marked.where("toxic = 1").where(share).select("label_id"), "confirmed"))
-    p = open_rows.where(within(positives, toxic or 0)).join(confirmed, F.col("id") == F.col("label_id"), "left_semi").collect()
-    u = open_rows.where(within(unlabelled, total)).collect()
+    confirmed = small_side(cut_table(marked.where("toxic = 1").select(F.col("label_id").alias("id")), "confirmed"))
+    flagged = open_rows.select("id").join(confirmed.withColumn("hit", F.lit(1)), "id", "left")
+    total, hits = flagged.agg(F.count(F.lit(1)), F.coalesce(F.sum("hit"), F.lit(0))).first()
+    p = open_rows.where(within(positives, hits)).join(confirmed, "id", "left_semi").distinct().collect()
+    u = open_rows.where(within(unlabelled, total)).distinct().collect()
     order = lambda rows: [r["text"] for r in sorted(rows, key=lambda r: (r["dice"], r["id"], r["text"] or ""))]
     return order(p), order(u), (toxic or 0) / max(1, n)
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``toxic_score`` and ``toxic_pred`` added; extra columns pass through."""
+    """``docs`` with ``toxic_score`` and ``toxic_pred`` (by :func:`fresh`) added; extra columns pass through."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    added = [fresh(c, docs.columns) for c in ("toxic_score", "toxic_pred")]
+    place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memo = shared.value, {}
         for b in batches:
-            s = np.array([0.0 if model is None else model.score(t.as_py(), memo) for t in b.column(text_col)])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=[*b.schema.names, "toxic_score", "toxic_pred"])
+            s = np.array([0.0 if model is None else model.score(t.as_py(), memo) for t in b.column(place)])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], names=names)
 
-    kept = [f for f in docs.schema.fields if f.name not in ("toxic_score", "toxic_pred")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", toxic_score double, toxic_pred int"
-    return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
+    names = [f"c{i}" for i in range(len(docs.columns) + 2)]  # dotted names don't reach Python
+    kinds = [*(f.dataType for f in docs.schema.fields), T.DoubleType(), T.IntegerType()]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
+    return docs.toDF(*names[:-2]).mapInArrow(run, schema).toDF(*docs.columns, *added)
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: int = 9000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:

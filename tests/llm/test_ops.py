@@ -276,6 +276,18 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
 
 
+def brute_components(fps, radius=3):
+    left, n = set(fps), 0
+    while left:
+        todo, n = [left.pop()], n + 1
+        while todo:
+            f = todo.pop()
+            near = {g for g in left if (f ^ g).bit_count() <= radius}
+            left -= near
+            todo += near
+    return n
+
+
 def test_simhash_components_match_brute_force(spark):
     rng = random.Random(2)
     base = [[f"w{rng.randrange(4000)}" for _ in range(300)] for _ in range(12)]
@@ -410,6 +422,72 @@ def test_one_of_each_by_row(spark):
     assert len(blank) == 1 and blank[0]["doc_id"] == 2
 
 
+HELPERS = "gone gone_id gone_th left_lines n_lines n_removed at_id at_th bad_id bad_th toxic_score toxic_pred th fp doc_at h label id dice hit Toxic_Pred2 text_".split()
+
+
+@pytest.fixture(scope="module")
+def stage_tables(tmp_path_factory):
+    """Labels and a benchmark beside which the stages of the pipeline run."""
+    import pandas as pd
+
+    where = tmp_path_factory.mktemp("stages")
+    pd.DataFrame({"doc_id": [101, 103], "quality": [0, 1], "toxic": [1, 0]}).to_parquet(where / "labels.parquet")
+    pd.DataFrame({"item_id": [1], "text": [QUESTION]}).to_parquet(where / "benchmark.parquet")
+    return str(where)
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_keep_columns_whatever_their_names(spark, stage_tables, stage):
+    import corpus_pipeline
+
+    name, run = corpus_pipeline.STAGES[stage]
+    own = " ".join(f"v{i}" for i in range(60))
+    texts = [*MESSY, "Intro. " + QUESTION, own, own, f"first\n{own}", f"second\n{own}", None, "quiet words of its own here", "other words that stand alone"]
+    ids = [*range(len(texts) - 4), 3, None, None, 50]
+    frame = docs(spark, texts, ids).drop("th", "label", "fp").withColumns({c: F.concat(F.lit(f"{c}:"), F.monotonically_increasing_id().cast("string")) for c in HELPERS}).withColumn("a.b", F.lit(1))
+    before = [r.asDict() for r in frame.collect()]
+    plain = run(spark, frame.drop(*HELPERS, "a.b"), stage_tables)
+    out = run(spark, frame, stage_tables)
+    assert out.columns == frame.columns and out.dtypes == frame.dtypes
+    rows = [r.asDict() for r in out.collect()]
+    assert {r["gone"] for r in rows} <= {r["gone"] for r in before} and len({r["gone"] for r in rows}) == len(rows)
+    mine = {r["gone"]: r for r in before}
+    changed = {"text", "n_chars"}
+    assert all({k: v for k, v in r.items() if k not in changed} == {k: v for k, v in mine[r["gone"]].items() if k not in changed} for r in rows)
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    assert sorted(map(key, rows)) == sorted(map(key, plain.collect()))
+    if name == "line dedup":
+        assert sum(own in (r["text"] or "") for r in rows) == 1 and len(rows) == len(before)
+    if name == "simhash near-dedup":
+        assert len(rows) == brute_components([brute_fingerprint(t) for t in texts]) and {r["text"] for r in rows} >= set(texts[-2:])
+    if name == "benchmark decontamination":
+        assert {r["text"] for r in before} - {r["text"] for r in rows} == {"Intro. " + QUESTION}
+    assert run(spark, frame.limit(0), stage_tables).count() == 0
+
+
+def test_encoding_stage_on_messy_and_empty(spark, stage_tables):
+    import corpus_pipeline
+
+    run = corpus_pipeline.STAGES[4][1]
+    rows = run(spark, docs(spark, [*MESSY, "one"], [*range(len(MESSY)), None]), stage_tables).collect()
+    assert len(rows) == len(MESSY) + 1 and sum(r["ids"] is None for r in rows) == 1 and all(r["round_trip"] for r in rows if r["ids"] is not None)
+    assert run(spark, docs(spark, EMPTY), stage_tables).count() == 0
+
+
+def test_samples_are_bounded_by_rows_not_ids(spark):
+    """One id over many texts doesn't bring all of them to the driver."""
+    rows = [(1, f"text number {i}", "en") for i in range(3000)] + [(k, f"own text {k}", "de") for k in range(100, 160)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1), (100, 0)], "doc_id long, toxic int")
+    p, u, prior = toxicity.samples(frame, labels, 100, 200, "doc_id", "text", "toxic")
+    assert 50 < len(p) < 170 and 120 < len(u) < 300 and prior in (0.5, 1.0)
+    texts, langs = langid.sample(frame, 100, "doc_id", "text", "lang")
+    assert 50 < langs.count("en") < 170 and langs.count("de") > 30
+    assert set(langid.sample(frame, 100, "doc_id", "text", "lang", classes=1)[1]) == {"en"}
+    again = frame.unionByName(frame).unionByName(frame)
+    assert len(toxicity.samples(again, labels, 10**6, 10**6, "doc_id", "text", "toxic")[0]) == 3000
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are absent")
 def test_pipeline_follows_its_stages(spark):
     import corpus_pipeline
