@@ -1,4 +1,13 @@
-"""A training-corpus pipeline of five stages, each applying one operator of ``sparkloom.llm``."""
+"""A training-corpus pipeline of five stages, each applying one operator of ``sparkloom.llm``.
+
+Defined cases: extra columns, whatever their names, pass through all stages but the
+last, which returns the operator's own columns; null and empty texts are scored as
+texts without features, have no lines to lose, are one group in the near-dedup
+(so one of them stays), match no benchmark item, and have null or no pieces; rows
+with null or repeated ids are decided by id and text; of rows equal in both, the
+near-dedup keeps one; very long texts are processed whole; an empty table passes
+through as an empty table.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, line_dedup, nbest, simhash, toxicity
+from sparkloom.llm.names import fresh, quoted
 from sparkloom.scratch import cut
 from sparkloom.ship import ship
 
@@ -13,13 +23,14 @@ from sparkloom.ship import ship
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic; it learns from the labels beside the documents."""
     model = toxicity.fit(docs, ship(spark).read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("toxic_pred = 0").select(*docs.columns)
+    return toxicity.score(docs, model).where(F.col(fresh("toxic_pred", docs.columns)) == 0).select(*map(quoted, docs.columns))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, later copies of repeated line runs cut out; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    removed = F.col(fresh("n_removed", docs.columns)) > 0
+    size = F.when(removed, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
+    return line_dedup.dedup_lines(docs).select(*[size if c == "n_chars" else F.col(quoted(c)) for c in docs.columns])
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
