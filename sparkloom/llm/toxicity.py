@@ -1,8 +1,9 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 The classifier is linear over the presence of hashed features of a whole text:
-its lower-cased words and the words' inner n-grams of five characters, so that
-inflected forms of one stem share features. It is fitted in numpy on confirmed
+its lower-cased words, the words' inner n-grams of five characters, so that
+inflected forms of one stem share features, and the stems that come in two, three or
+five forms, since one form may be chance. It is fitted in numpy on confirmed
 toxic texts (P) and unlabelled texts (U) with the non-negative risk estimator
 ``pi R_P^+ + max(0, R_U^- - pi R_P^-)``: where the corrected negative risk of a
 step falls below zero, the step goes back along its gradient. The class prior pi is
@@ -41,29 +42,41 @@ from sparkloom.scratch import small_side
 
 BITS = 18
 GRAM = 5
+#: Letters of a stem, how many forms of it are features of their own, and the factor that sets their hashes apart.
+STEM, FORMS, FORM = 5, (2, 3, 5), 2654435761
 LEAST_FEATURES = 100
 MEMO = 200_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str) -> bytes:
-    """Hashed features of one word: itself, and its n-grams with the word's start marked."""
+def word_features(word: str) -> tuple[bytes, int]:
+    """Hashed features of one word: itself, and its n-grams with the word's start marked; and the hash of its stem (0: too short for one)."""
     mark = f"^{word}"
     parts = [f"={word}", *(mark[i : i + GRAM] for i in range(len(mark) - GRAM + 1))]
-    return np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for p in parts], np.uint32).tobytes()
+    stem = _hash(f"#{word[:STEM]}") if len(word) >= STEM else 0
+    return np.array([_hash(p) for p in parts], np.uint32).tobytes(), stem
 
 
-def features(text: str | None, memo: dict[str, bytes]) -> np.ndarray:
+def _hash(part: str) -> int:
+    return zlib.crc32(part.encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1)
+
+
+def features(text: str | None, memo: dict[str, tuple[bytes, int]]) -> np.ndarray:
     """Distinct features of a whole text."""
     found: list[bytes] = []
+    stems: list[int] = []
     for word in set(WORDS.findall((text or "").lower())):
         own = memo.get(word)
         if own is None:
             if len(memo) >= MEMO:
                 memo.clear()
             own = memo[word] = word_features(word)
-        found.append(own)
-    return np.unique(np.frombuffer(b"".join(found), np.uint32)).astype(np.int64)
+        found.append(own[0])
+        if own[1]:
+            stems.append(own[1])
+    stem, forms = np.unique(np.array(stems, np.uint32), return_counts=True)
+    many = [(stem[forms >= k] * np.uint32(FORM) + np.uint32(k)) & np.uint32((1 << BITS) - 1) for k in FORMS]
+    return np.unique(np.concatenate([np.frombuffer(b"".join(found), np.uint32), *many])).astype(np.int64)
 
 
 @dataclass
@@ -71,7 +84,7 @@ class Model:
     weights: np.ndarray
     bias: float
 
-    def score(self, text: str | None, memo: dict[str, bytes]) -> float:
+    def score(self, text: str | None, memo: dict[str, tuple[bytes, int]]) -> float:
         x = features(text, memo)
         return float(1 / (1 + np.exp(-np.clip(self.weights[x].sum() + self.bias, -50, 50))))
 
@@ -80,7 +93,7 @@ def train(positive: list[str], unlabelled: list[str], prior: float, epochs: int
     """Fit by AdaGrad on mini-batches of both samples."""
     if not positive:
         return None
-    memo: dict[str, bytes] = {}
+    memo: dict[str, tuple[bytes, int]] = {}
     p, u = [features(t, memo) for t in positive], [features(t, memo) for t in unlabelled]
     prior = min(max(prior, 1e-3), 0.9)
     chosen = select(p, u, significance)
