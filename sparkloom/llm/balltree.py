@@ -1,18 +1,25 @@
 """Exact top-k inner products by ball-tree branch and bound, shard by shard.
 
-Candidates are dealt into shards by hash and each shard becomes one ball tree.
-Queries travel in blocks: a block meets every shard through an equi-join on
-the shard number, never row by row. In a shard the nodes are visited in order
-of their inner-product upper bound ``q.c + |q| r``, and a node is skipped where
-the bound lies below the query's current k-th score. A block is first searched
-in one home shard; the k-th scores found there go with the block to all other
-shards as the scores to beat.
+Candidates are dealt to cells by the nearest of a few centres, cells are cut
+into shards of bounded size, and each shard becomes one ball tree. Queries
+travel in blocks of one cell, and a block meets shards through equi-joins,
+never row by row. In a shard the nodes are visited in order of their
+inner-product upper bound ``q.c + |q| r``, and a node is skipped where the bound
+lies below the query's current k-th score. That score is shared between shards in three
+rounds: a block first meets one shard of the cell with the highest bound, then
+the others of that cell, then the shards of all other cells; before each round
+the cells' own bounds drop the queries that can gain nothing there, so these
+don't travel.
+
+The centres come from a sample of ``SAMPLE`` rows; they decide where rows lie,
+never whether one is searched.
 
 Defined cases: vectors that are null or hold null or non-finite components
-take no part, nor do rows without an id, or with components that leave the
-range of a long when scaled; vectors of different lengths are not compared;
-rows that repeat an id and vector count once, and a query never meets rows of
-its own id; ties go to the smaller id; an empty table gives an empty result.
+take no part, nor do rows without an id; vectors of different lengths are not
+compared; every row counts, so rows that repeat an id are queries of their own
+and candidates for each other; scores beyond the range of a long are its end;
+ties go to the smaller id; very long vectors are whole rows of one tree; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,20 +32,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.scratch import cut
+from sparkloom.scratch import cut, drop
 
 LEAF = 64
 SHARD_ROWS = 8192
 BLOCK_ROWS = 512
-LEAST_SHARDS = 32
+CENTRES = 64
+SAMPLE = 4096
+LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
 def scaled(vectors: DataFrame, factor: int = 64, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """``vec_id, v`` of the vectors that take part, components as floor(factor * x)."""
-    whole = F.transform(F.col(vec_col), lambda x: F.floor(x.cast("double") * factor).try_cast("long"))
-    finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * factor) < 2.0**62))
+    """``row, vec_id, v`` of the vectors that take part: a number of each row's own, and whole components floor(factor * x) as doubles, which hold them exactly."""
+    whole = lambda y: F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)
+    v = F.transform(F.col(vec_col), lambda x: whole(x.cast("double") * factor))
+    finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * factor) < float("inf")))
     ok = F.col(id_col).isNotNull() & F.coalesce(finite, F.lit(False))
-    return vectors.where(ok).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).distinct()
+    return vectors.where(ok).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
 
 
 def _pack(**arrays: np.ndarray) -> bytes:
@@ -52,49 +62,57 @@ def _unpack(raw: bytes) -> dict[str, np.ndarray]:
         return {k: found[k] for k in found.files}
 
 
-def build(ids: np.ndarray, v: np.ndarray) -> dict[str, np.ndarray]:
+def build(rows: np.ndarray, ids: np.ndarray, v: np.ndarray) -> dict[str, np.ndarray]:
     """A ball tree: points in leaf order, and per node centre, radius, point range and children."""
     order, nodes = np.arange(len(ids)), []
-    x = v.astype(np.float64)
     todo = [(0, len(ids), -1, 0)]
     while todo:
         a, z, parent, side = todo.pop()
-        own = x[order[a:z]]
-        centre = own.mean(axis=0)
-        apart = np.sqrt(((own - centre) ** 2).sum(axis=1))
+        own = v[order[a:z]]
+        centre, radius = _ball(own)
         me = len(nodes)
-        nodes.append([a, z, -1, -1, centre, apart.max() * (1 + 1e-12) + 1e-9])
+        nodes.append([a, z, -1, -1, centre, radius])
         if parent >= 0:
             nodes[parent][2 + side] = me
         if z - a > LEAF:
-            far = own[apart.argmax()]
+            far = own[((own - centre) ** 2).sum(axis=1).argmax()]
             across = own @ (far - own[((own - far) ** 2).sum(axis=1).argmax()])
             split = (z - a) // 2
             order[a:z] = order[a:z][np.argpartition(across, split)]
             todo += [(a, a + split, me, 0), (a + split, z, me, 1)]
     return {
-        "ids": ids[order], "v": v[order], "range": np.array([n[:2] for n in nodes]), "kids": np.array([n[2:4] for n in nodes]),
+        "rows": rows[order], "ids": ids[order], "v": v[order], "range": np.array([n[:2] for n in nodes]), "kids": np.array([n[2:4] for n in nodes]),
         "centre": np.array([n[4] for n in nodes]), "radius": np.array([n[5] for n in nodes]),
     }
 
 
+def _ball(own: np.ndarray) -> tuple[np.ndarray, float]:
+    centre = own.mean(axis=0)
+    return centre, float(np.sqrt(((own - centre) ** 2).sum(axis=1)).max() * (1 + 1e-12) + 1e-9)
+
+
+def _bounds(q: np.ndarray, centre: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """What no inner product of a query with a point of each ball exceeds, rounding included."""
+    norms = np.sqrt((q**2).sum(axis=1))[:, None]
+    reach = np.sqrt((centre**2).sum(axis=1)) + radius
+    return np.nan_to_num(q @ centre.T + norms * radius + 1e-9 * (1 + norms * reach), nan=np.inf, posinf=np.inf)
+
+
 def _products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Exact integer inner products."""
+    """Exact inner products of whole components, cut to the range of a long above its least value."""
     top = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(1, q.shape[1])
     if top < 2**53:
-        return (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64)
+        return (q @ v.T).astype(np.int64)
     if top < 2**63:
-        return q @ v.T
-    raise OverflowError("inner products leave the range of a long")
+        return q.astype(np.int64) @ v.T.astype(np.int64)
+    whole = lambda m: np.array([[int(x) for x in r] for r in m], dtype=object).reshape(m.shape)
+    return np.clip(whole(q) @ whole(v).T, int(LEAST) + 1, int(MOST)).astype(np.int64)
 
 
-def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate id, score): each query's k best of the tree that reach its floor, ties to smaller ids."""
-    norms = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1))
-    bounds = q.astype(np.float64) @ tree["centre"].T + norms[:, None] * tree["radius"][None, :]
-    bounds += 1e-9 * (1 + np.abs(bounds))
-    least = np.iinfo(np.int64).min
-    best = np.full((len(q), k), least)
+def search(tree: dict[str, np.ndarray], query_rows: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, candidate's place in the tree, score): each query's k best of the tree that reach its floor, ties to smaller ids."""
+    bounds = _bounds(q, tree["centre"], tree["radius"])
+    best = np.full((len(q), k), LEAST)
     kth = floor.copy()
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     stack = [0]
@@ -110,69 +128,168 @@ def search(tree: dict[str, np.ndarray], query_ids: np.ndarray, q: np.ndarray, fl
             continue
         a, z = tree["range"][node]
         scores = _products(q[active], tree["v"][a:z])
-        scores[query_ids[active][:, None] == tree["ids"][None, a:z]] = least
-        row, at = np.nonzero((scores >= kth[active][:, None]) & (scores > least))
-        found.append((active[row], tree["ids"][a:z][at], scores[row, at]))
+        scores[query_rows[active][:, None] == tree["rows"][None, a:z]] = LEAST
+        row, at = np.nonzero((scores >= kth[active][:, None]) & (scores > LEAST))
+        found.append((active[row], a + at, scores[row, at]))
         merged = np.partition(np.concatenate([best[active], scores], axis=1), -k, axis=1)[:, -k:]
         best[active] = merged
         kth[active] = np.maximum(kth[active], merged.min(axis=1))
     if not found:
         return (np.empty(0, np.int64),) * 3
-    row, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    row, at, score = (np.concatenate(x) for x in zip(*found, strict=True))
     keep = score >= kth[row]
-    row, ids, score = row[keep], ids[keep], score[keep]
-    order = np.lexsort((ids, -score, row))
-    row, ids, score = row[order], ids[order], score[order]
+    row, at, score = row[keep], at[keep], score[keep]
+    order = np.lexsort((tree["rows"][at], tree["ids"][at], -score, row))
+    row, at, score = row[order], at[order], score[order]
     rank = np.arange(len(row)) - np.searchsorted(row, row)
-    return row[rank < k], ids[rank < k], score[rank < k]
+    return row[rank < k], at[rank < k], score[rank < k]
+
+
+def centres(sample: list[np.ndarray], rounds: int = 4) -> dict[int, np.ndarray]:
+    """By length of the vectors: a few centres of the sample, one for every 32 of its rows."""
+    by: dict[int, list[np.ndarray]] = {}
+    for v in sample:
+        by.setdefault(len(v), []).append(v)
+    out = {}
+    for dim, own in by.items():
+        points = np.array(own, np.float64).reshape(len(own), dim)
+        found = points[: max(1, min(CENTRES, len(points) // 32))].copy()
+        for _ in range(rounds):
+            near = _nearest(points, found)
+            found = np.array([points[near == c].mean(axis=0) if (near == c).any() else found[c] for c in range(len(found))]).reshape(len(found), dim)
+        out[dim] = found
+    return out
+
+
+def _nearest(points: np.ndarray, among: np.ndarray) -> np.ndarray:
+    return np.nan_to_num((among**2).sum(axis=1) - 2 * points @ among.T).argmin(axis=1)
+
+
+def deal(rows: DataFrame, among: dict[int, np.ndarray]) -> DataFrame:
+    """``rows`` with the cell of each: the nearest centre for its length, 0 where the sample had none."""
+    shared = rows.sparkSession.sparkContext.broadcast(among)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v, cell = b.column(2), np.zeros(len(b), np.int32)
+            sizes = b.column(3).to_numpy()
+            for dim in np.unique(sizes).tolist():
+                if dim in shared.value:
+                    at = np.flatnonzero(sizes == dim)
+                    cell[at] = _nearest(_matrix(v.take(pa.array(at))), shared.value[dim])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], names=["row", "vec_id", "v", "dim", "cell"])
+
+    return rows.select("row", "vec_id", "v", "dim").mapInArrow(run, "row long, vec_id long, v array<double>, dim int, cell int")
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, factor: int = 64, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: of each row whose id is divisible by ``every``, the k best other rows."""
     rows = cut(scaled(vectors, factor, id_col, vec_col).withColumn("dim", F.size("v")), "vectors")
-    n = rows.count()
-    shards = max(LEAST_SHARDS, -(-n // SHARD_ROWS))
-    asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
-    blocks = max(4, -(-n // every // BLOCK_ROWS))
+    sample = rows.select("v").orderBy(F.xxhash64("row")).limit(SAMPLE).toArrow()["v"].to_pylist()
+    dealt = cut(deal(rows, centres([np.array(v, np.float64) for v in sample])), "dealt")
+    cell = ["dim", "cell"]
+    asks = F.pmod("vec_id", F.lit(every)) == 0
+    sizes = cut(dealt.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("parts"), F.ceil(F.count_if(asks) / BLOCK_ROWS).cast("int").alias("blocks")), "sizes")
+    part = lambda of, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.col(of)).cast("int")
+    shard = [*cell, "part"]
 
     def plant(key: tuple, table: pa.Table) -> pa.Table:
-        tree = build(table["vec_id"].to_numpy(), _matrix(table["v"]))
-        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([_pack(**tree)], pa.binary())})
+        v = _matrix(table["v"])
+        tree = build(table["row"].to_numpy(), table["vec_id"].to_numpy(), v)
+        fields = [pa.array([x.as_py()], pa.int32()) for x in key]
+        return pa.Table.from_arrays([*fields, pa.array([_pack(**tree)], pa.binary()), pa.array([_pack(centre=tree["centre"][0], radius=tree["radius"][0])], pa.binary())], names=[*shard, "tree", "ball"])
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()), "block_of": pa.array([_pack(ids=table["vec_id"].to_numpy(), q=_matrix(table["v"]))], pa.binary())})
+        fields = [pa.array([x.as_py()], pa.int32()) for x in key]
+        raw = _pack(rows=table["row"].to_numpy(), ids=table["vec_id"].to_numpy(), q=_matrix(table["v"]))
+        return pa.Table.from_arrays([*fields, pa.array([raw], pa.binary())], names=[*cell, "block", "block_of"])
+
+    joined = dealt.join(sizes, cell)
+    trees = cut(joined.withColumn("part", part("parts", "shard")).groupBy(*shard).applyInArrow(plant, "dim int, cell int, part int, tree binary, ball binary"), "trees")
+    packed = cut(joined.where(asks).withColumn("block", part("blocks", "block")).groupBy(*cell, "block").applyInArrow(gather, "dim int, cell int, block int, block_of binary"), "blocks")
+    # at most CENTRES cells for a length; the ball of a cell is that of its first shard, widened to hold those of the others
+    balls = trees.groupBy(*cell).agg(F.min_by("ball", "part").alias("ball"), F.max("part").alias("parts"))
+    wide = cut(_widened(trees, balls), "balls").groupBy("dim").agg(F.collect_list(F.struct("cell", "parts", "ball")).alias("cells"))
+
+    def visit(floors: DataFrame | None, turn: int) -> DataFrame:
+        """The hits of one round: of the first shard of each block's best cell, of that cell's others, or of all other cells."""
+        at = packed.withColumnRenamed("cell", "home").join(wide, "dim")
+        if floors is not None:
+            at = at.join(floors, ["dim", "home", "block"], "left")
+        else:
+            at = at.withColumn("floors", F.lit(None).cast("array<struct<query_row: bigint, floor: bigint>>"))
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for dim, home, block, raw, cells, known in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    asked = _unpack(raw)
+                    floor = np.full(len(asked["rows"]), LEAST)
+                    if known:
+                        low = {x["query_row"]: x["floor"] for x in known}
+                        floor = np.array([low.get(r, LEAST) for r in asked["rows"].tolist()])
+                    found = [_unpack(c["ball"]) for c in cells]
+                    bounds = _bounds(asked["q"], np.array([f["centre"] for f in found]), np.array([f["radius"] for f in found]))
+                    best = int(bounds.sum(axis=0).argmax())
+                    for i, c in enumerate(cells):
+                        if (i == best) != (turn < 2):
+                            continue
+                        mine = bounds[:, i] >= floor
+                        if not mine.any():
+                            continue
+                        parts = range(c["parts"] + 1) if turn == 2 else range(1) if turn == 0 else range(1, c["parts"] + 1)
+                        own = _pack(rows=asked["rows"][mine], ids=asked["ids"][mine], q=asked["q"][mine], floor=floor[mine])
+                        for p in parts:
+                            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (dim, c["cell"], p, home, block)] + [pa.array([own], pa.binary())], names=[*shard, "home", "block", "own"])
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for dim, home, block, raw, tree in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    asked, tree = _unpack(raw), _unpack(tree)
+                    row, at, score = search(tree, asked["rows"], asked["q"], asked["floor"], k)
+                    same = [pa.array(np.full(len(row), x, np.int32)) for x in (dim, home, block)]
+                    yield pa.RecordBatch.from_arrays([*same, *map(pa.array, (asked["rows"][row], asked["ids"][row], tree["rows"][at], tree["ids"][at], score))], names=[*kinds])
+
+        kinds = {"dim": "int", "home": "int", "block": "int", "query_row": "long", "query_id": "long", "row": "long", "vec_id": "long", "score": "long"}
+        sent = at.select("dim", "home", "block", "block_of", "cells", "floors").mapInArrow(send, "dim int, cell int, part int, home int, block int, own binary")
+        met = sent.repartition(*shard, "home", "block").join(trees.select(*shard, "tree"), shard).select("dim", "home", "block", "own", "tree")
+        return cut(met.mapInArrow(meet, ", ".join(f"{c} {t}" for c, t in kinds.items())), "hits")
+
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
+    hits = None
+    for turn in range(3):
+        floors = None
+        if hits is not None:
+            kth = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
+            floors = kth.groupBy("dim", "home", "block").agg(F.collect_list(F.struct("query_row", F.col("score").alias("floor"))).alias("floors"))
+        more = visit(floors, turn)
+        hits = more if hits is None else hits.unionByName(more)
+    drop(dealt)
+    return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    trees = cut(dealt.groupBy("dim", "shard").applyInArrow(plant, "dim int, shard int, tree binary"), "trees")
-    packed = cut(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int")).groupBy("dim", "block").applyInArrow(gather, "dim int, block int, block_of binary"), "blocks")
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _widened(trees: DataFrame, balls: DataFrame) -> DataFrame:
+    """``dim, cell, parts, ball``: one ball around those of all shards of a cell, about the first shard's centre."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for dim, block, raw, tree in zip(*(b.column(c).to_pylist() for c in ("dim", "block", "block_of", "tree")), strict=True):
-                asked = _unpack(raw)
-                least = np.full(len(asked["ids"]), np.iinfo(np.int64).min)
-                row, _, score = search(_unpack(tree), asked["ids"], asked["q"], least.copy(), k)
-                count = np.bincount(row, minlength=len(least))
-                least[count >= k] = score[np.flatnonzero(np.diff(row, append=-1))][count[count > 0] >= k]
-                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([block], pa.int32()), pa.array([_pack(floor=least)], pa.binary())], names=["dim", "block", "floors"])
-
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            reach = []
+            for first, own in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                f, o = _unpack(first), _unpack(own)
+                reach.append(float(np.sqrt(((f["centre"] - o["centre"]) ** 2).sum()) * (1 + 1e-9) + o["radius"]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(reach, pa.float64())], names=["dim", "cell", "reach"])
+
+    pairs = trees.select("dim", "cell", "ball").join(balls.select("dim", "cell", F.col("ball").alias("first")), ["dim", "cell"])
+    reach = pairs.select("dim", "cell", "first", "ball").mapInArrow(run, "dim int, cell int, reach double").groupBy("dim", "cell").agg(F.max("reach").alias("reach"))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for raw, floors, tree in zip(*(b.column(c).to_pylist() for c in ("block_of", "floors", "tree")), strict=True):
-                asked = _unpack(raw)
-                floor = _unpack(floors)["floor"] if floors else np.full(len(asked["ids"]), np.iinfo(np.int64).min)
-                row, ids, score = search(_unpack(tree), asked["ids"], asked["q"], floor, k)
-                yield pa.RecordBatch.from_arrays([pa.array(asked["ids"][row]), pa.array(ids), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-    home = packed.withColumn("shard", F.pmod("block", F.lit(shards)))
-    floors = cut(home.join(trees, ["dim", "shard"]).select("dim", "block", "block_of", "tree").mapInArrow(first, "dim int, block int, floors binary"), "floors")
-    everywhere = packed.join(floors, ["dim", "block"], "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    met = everywhere.repartition("dim", "shard", "block").join(trees, ["dim", "shard"]).select("block_of", "floors", "tree")
-    hits = met.mapInArrow(rest, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = np.concatenate([np.asarray(c.flatten()) for c in column.chunks]) if column.num_chunks else np.empty(0)
-    return flat.astype(np.int64).reshape(len(column), -1)
+            made = [_pack(centre=_unpack(raw)["centre"], radius=np.array(r)) for raw, r in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(made, pa.binary())], names=["dim", "cell", "parts", "ball"])
+
+    return balls.join(reach, ["dim", "cell"]).select("dim", "cell", "parts", "ball", "reach").mapInArrow(put, "dim int, cell int, parts int, ball binary")
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    flat = np.concatenate([np.asarray(c.flatten()) for c in chunks]) if chunks else np.empty(0)
+    return flat.astype(np.float64).reshape(len(column), -1)

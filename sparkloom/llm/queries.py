@@ -79,11 +79,11 @@ from d join e using (h) join k using (h)
 """
 
 TOP_K_SQL = """
-with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) v from embeddings
+with v as (select row_number() over () rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) v from embeddings
            where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::bigint score
-      from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
-r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from s)
+s as (select q.rid, q.vec_id query_id, c.rid cid, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::bigint score
+      from v q join v c on q.vec_id % 20 = 0 and q.rid <> c.rid and len(q.v) = len(c.v)),
+r as (select query_id, row_number() over (partition by rid order by score desc, vec_id, cid) as rank, vec_id, score from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 20
 """
 

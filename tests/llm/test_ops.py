@@ -338,6 +338,15 @@ def test_learnt_operators_on_held_out_rows(spark):
     assert np.mean([a == b for a, b in hits]) > 0.9, hits
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="driver tables are absent")
+def test_toxicity_recall_and_precision(spark):
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    scored = toxicity.score(d.join(labels.select("doc_id"), "doc_id", "left_semi"), toxicity.fit(d, labels)).join(labels, "doc_id").where(langid.held_out()).collect()
+    caught = sum(r["toxic_pred"] and r["toxic"] for r in scored)
+    assert caught / sum(r["toxic"] for r in scored) >= 0.85 and caught / sum(r["toxic_pred"] for r in scored) >= 0.85
+
+
 def test_learnt_operators_on_messy_and_empty(spark):
     got = {r["doc_id"]: r for r in langid.identify(docs(spark, [*MESSY, "12 345"])).collect()}
     assert {i for i, r in got.items() if r["lang_pred"] == "und"} == {0, 1, 2, 10}
@@ -378,7 +387,7 @@ def test_top_k_matches_brute_force(spark):
     rng = np.random.default_rng(4)
     v = rng.normal(size=(400, 8)).astype(np.float32)
     v[100:200] = v[0]
-    rows = [(int(i), [float(x) for x in v[i]]) for i in range(400)] + [(400, None), (420, [1.0, None] + [0.0] * 6), (440, [float("nan")] * 8), (None, [1.0] * 8), (20, [float(x) for x in v[20]]), (460, [1.0, 2.0])]
+    rows = [(int(i), [float(x) for x in v[i]]) for i in range(400)] + [(400, None), (420, [1.0, None] + [0.0] * 6), (440, [float("nan")] * 8), (None, [1.0] * 8), (460, [1.0, 2.0])]
     got = {}
     for r in balltree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
@@ -389,6 +398,25 @@ def test_top_k_matches_brute_force(spark):
     assert balltree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_counts_every_row(spark):
+    """Repeated ids and rows, vectors whose products leave the range of a long, other lengths, and clusters that cells can skip; extra columns clash."""
+    rng = np.random.default_rng(9)
+    v = [[float(x) for x in np.float32(rng.normal(size=6) + 40 * (i % 3 - 1))] for i in range(900)]
+    ids = [i % 300 for i in range(900)]
+    v += [v[0], [3e38] * 6, [-3e38] * 6, [1e12] * 6, [1e9, -1e9, 1.5, 0.0, 0.0, 0.0], [2.0, 3.0], [4.0, 5.0], []]
+    ids += [0, 1000, 1001, 1020, 1040, 1060, 7, 1080]
+    frame = spark.createDataFrame([(i, [float(np.float32(y)) for y in x], "a", 1, 2) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<float>, row string, cell int, dim int")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in balltree.top_k(frame).collect())
+    w = [[int(np.floor(64 * float(np.float32(y)))) for y in x] for x in v]
+    most = 2**63 - 1
+    want = []
+    for q in range(len(w)):
+        if ids[q] % 20 == 0:
+            best = sorted((-max(-most, min(most, sum(a * b for a, b in zip(w[q], w[c], strict=True)))), ids[c], c) for c in range(len(w)) if c != q and len(w[c]) == len(w[q]))[:20]
+            want += [(ids[q], k + 1, i, -s) for k, (s, i, _) in enumerate(best)]
+    assert got == sorted(want)
+
+
 def test_line_runs(spark):
     words = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
     a, b, c, d = (words(k, n) for k, n in enumerate((30, 25, 60, 10)))
