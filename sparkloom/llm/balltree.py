@@ -38,6 +38,7 @@ LEAF = 64
 SHARD_ROWS = 8192
 BLOCK_ROWS = 512
 CENTRES = 64
+CELL_ROWS = 2048
 SAMPLE = 4096
 LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
@@ -145,15 +146,15 @@ def search(tree: dict[str, np.ndarray], query_rows: np.ndarray, q: np.ndarray, f
     return row[rank < k], at[rank < k], score[rank < k]
 
 
-def centres(sample: list[np.ndarray], rounds: int = 4) -> dict[int, np.ndarray]:
-    """By length of the vectors: a few centres of the sample, one for every 32 of its rows."""
+def centres(sample: list[np.ndarray], n: int, rounds: int = 4) -> dict[int, np.ndarray]:
+    """By length of the vectors: a few centres of the sample, one for every 32 of its rows and ``CELL_ROWS`` of the ``n`` rows it stands for."""
     by: dict[int, list[np.ndarray]] = {}
     for v in sample:
         by.setdefault(len(v), []).append(v)
     out = {}
     for dim, own in by.items():
         points = np.array(own, np.float64).reshape(len(own), dim)
-        found = points[: max(1, min(CENTRES, len(points) // 32))].copy()
+        found = points[: max(1, min(CENTRES, len(points) // 32, n * len(points) // len(sample) // CELL_ROWS))].copy()
         for _ in range(rounds):
             near = _nearest(points, found)
             found = np.array([points[near == c].mean(axis=0) if (near == c).any() else found[c] for c in range(len(found))]).reshape(len(found), dim)
@@ -186,7 +187,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, factor: int = 64, id
     """``query_id, rank, vec_id, score``: of each row whose id is divisible by ``every``, the k best other rows."""
     rows = cut(scaled(vectors, factor, id_col, vec_col).withColumn("dim", F.size("v")), "vectors")
     sample = rows.select("v").orderBy(F.xxhash64("row")).limit(SAMPLE).toArrow()["v"].to_pylist()
-    dealt = cut(deal(rows, centres([np.array(v, np.float64) for v in sample])), "dealt")
+    dealt = cut(deal(rows, centres([np.array(v, np.float64) for v in sample], rows.count())), "dealt")
     cell = ["dim", "cell"]
     asks = F.pmod("vec_id", F.lit(every)) == 0
     sizes = cut(dealt.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("parts"), F.ceil(F.count_if(asks) / BLOCK_ROWS).cast("int").alias("blocks")), "sizes")

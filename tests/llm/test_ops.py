@@ -398,8 +398,11 @@ def test_top_k_matches_brute_force(spark):
     assert balltree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_top_k_counts_every_row(spark):
+@pytest.mark.parametrize("cell_rows", [balltree.CELL_ROWS, 40])
+def test_top_k_counts_every_row(spark, monkeypatch, cell_rows):
     """Repeated ids and rows, vectors whose products leave the range of a long, other lengths, and clusters that cells can skip; extra columns clash."""
+    monkeypatch.setattr(balltree, "CELL_ROWS", cell_rows)
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 4 * cell_rows)
     rng = np.random.default_rng(9)
     v = [[float(x) for x in np.float32(rng.normal(size=6) + 40 * (i % 3 - 1))] for i in range(900)]
     ids = [i % 300 for i in range(900)]
