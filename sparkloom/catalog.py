@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import core, more
+from sparkloom.plans import core, more, privacy
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return core.QUERIES | more.QUERIES
+    return core.QUERIES | more.QUERIES | privacy.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return core.SQL | more.SQL
+    return core.SQL | more.SQL | privacy.SQL

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkloom.functions import hashing, sensitive
+from sparkloom.functions import hashing
 from sparkloom.operators import prepare, text
 from sparkloom.plans.tables import REPO, SHINGLES, TOKENS, U64LE, repo, table
 
@@ -175,50 +175,10 @@ def a20_skip_counters(spark, d):
     return text.reasons(docs(spark, d)).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-# --- sensitive content
-
-EMAILS = "list_filter(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+'), lambda m: contains(rtrim(regexp_replace(lower(m), '^.*@', ''), '.'), '.') and not regexp_matches(rtrim(regexp_replace(lower(m), '^.*@', ''), '.'), '(^|\\.)(example\\.com|example\\.org|example\\.net|test|invalid|localhost)$'))"
-
-
-def rule(name: str, f, sql: str) -> None:
-    def run(spark, d):
-        return docs(spark, d).select("doc_id", f(F.col("text")).alias("hit"))
-
-    run.__name__ = name
-    query(f"select doc_id, ({sql}) as hit from documents")(run)
-
-
 def quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
-rule("p1_private_key", sensitive.private_key, f"regexp_matches(text, {quoted(sensitive.PEM)})")
-rule("p2_provider_credential", sensitive.provider_credential, f"regexp_matches(text, {quoted(sensitive.CREDENTIAL)})")
-rule("p3_credentialed_url", sensitive.credentialed_url, f"regexp_matches(text, {quoted(sensitive.CREDENTIALED_URL)})")
-rule("p8_telephone", sensitive.telephone, f"len(list_filter(regexp_extract_all(text, {quoted(sensitive.PHONE)}), lambda m: length(regexp_replace(m, '[^0-9]', '', 'g')) between 10 and 15)) > 0")
-rule("p9_government_identifier", sensitive.government_id, f"len(list_filter(regexp_extract_all(text, {quoted(sensitive.SSN)}, 2), lambda m: m[1:3] not in ('000', '666') and m[1] <> '9' and m[5:6] <> '00' and m[8:11] <> '0000')) > 0")
-rule("p11_personal_email", sensitive.personal_email, f"len({EMAILS}) > 0")
-rule("p6_postal_address", sensitive.postal_address, f"regexp_matches(text, {quoted('(?i)(^|[^A-Za-z0-9])[0-9]+ [A-Za-z ]*' + sensitive.STREET + '[^' + chr(10) + ']*[^0-9][0-9]{5,6}([^0-9]|$)')})")
-LUHN = "list_sum(list_transform(range(length(x)), lambda i: case when i % 2 = 0 then substr(x, (length(x) - i)::int, 1)::int when 2 * substr(x, (length(x) - i)::int, 1)::int > 9 then 2 * substr(x, (length(x) - i)::int, 1)::int - 9 else 2 * substr(x, (length(x) - i)::int, 1)::int end)) % 10 = 0"
-rule("p10_payment_account", sensitive.payment_card, f"len(list_filter(list_transform(regexp_extract_all(text, '[0-9][0-9 -]{{11,}}[0-9]'), lambda m: regexp_replace(m, '[^0-9]', '', 'g')), lambda x: length(x) between 13 and 19 and {LUHN} and not regexp_matches(x, '^(0+|1+|2+|3+|4+|5+|6+|7+|8+|9+)$'))) > 0")
-
-
-@query()
-def p12_verdict(spark, d):
-    v = sensitive.verdict(F.col("text"))
-    return docs(spark, d).select("doc_id", v.alias("v")).select("doc_id", "v.status", F.array_join("v.rules", ",").alias("rules"))
-
-
-NAMES_SQL = "select doc_id, v from (select doc_id, unnest(regexp_extract_all(text, '([A-Za-z_][A-Za-z0-9_]*)[ ]*=[ ]*[\"'']([^\"''\\n]*)[\"'']', 1)) n, unnest(regexp_extract_all(text, '([A-Za-z_][A-Za-z0-9_]*)[ ]*=[ ]*[\"'']([^\"''\\n]*)[\"'']', 2)) v from documents) where regexp_matches(lower(n), '(^|_)(password|passwd|secret|token|api_key|client_secret|access_key)$')"
-ENTROPY_SQL = "round(-list_sum(list_transform(list_distinct(string_split(v, '')), lambda c: (len(list_filter(string_split(v, ''), lambda o: o = c)) / length(v)::double) * log2(len(list_filter(string_split(v, ''), lambda o: o = c)) / length(v)::double))), 9)"
-
-
-@query(f"select doc_id, v as value, {ENTROPY_SQL} as entropy, (regexp_matches(v, '[a-z]')::int + regexp_matches(v, '[A-Z]')::int + regexp_matches(v, '[0-9]')::int + regexp_matches(v, '[^A-Za-z0-9]')::int) as classes from ({NAMES_SQL}) where v <> ''")
-def p4_named_secret_entropy(spark, d):
-    v = docs(spark, d).select("doc_id", F.explode(sensitive.named_values(F.col("text"))).alias("value")).where("value <> ''")
-    return v.select("doc_id", "value", F.round(sensitive.entropy(F.col("value")), 9).alias("entropy"), sensitive.char_classes(F.col("value")).alias("classes"))
-
-
 # --- scalar functions
 
 
