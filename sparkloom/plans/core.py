@@ -101,28 +101,11 @@ def f3_https_identity(spark, d):
     return table(spark, d, "pages").select("page_id", text.is_https_identity(F.col("url")).alias("https"))
 
 
-@query("select * from (values ('2026-08-15T12:00:00Z', true), ('2026-08-15T12:00:00.1Z', false), ('2026-02-29T00:00:00Z', false), ('2026-08-15T25:00:00Z', false), ('2026-08-15 12:00:00Z', false), ('2028-02-29T00:00:00Z', true)) t(stamp, valid)")
-def f4_utc_second(spark, d):
-    stamps = ["2026-08-15T12:00:00Z", "2026-08-15T12:00:00.1Z", "2026-02-29T00:00:00Z", "2026-08-15T25:00:00Z", "2026-08-15 12:00:00Z", "2028-02-29T00:00:00Z"]
-    return spark.createDataFrame([(s,) for s in stamps], "stamp string").select("stamp", text.is_utc_second(F.col("stamp")).alias("valid"))
-
-
 @query("select page_id, (p <> '' and not regexp_matches(p, '[:\\\\]') and len(list_filter(string_split(p, '/'), lambda s: s in ('', '.', '..'))) = 0) as portable from (select page_id, regexp_replace(url, '^[a-z]+://', '') p from pages)")
 def f5_portable_path(spark, d):
     return table(spark, d, "pages").select("page_id", text.is_portable_path(F.regexp_replace("url", "^[a-z]+://", "")).alias("portable"))
 
 
-@query("select doc_id, regexp_matches(sha256(text), '^[0-9a-f]{64}$') as ok from documents")
-def f6_sha256_shape(spark, d):
-    return docs(spark, d).select("doc_id", F.sha2("text", 256).rlike("^[0-9a-f]{64}$").alias("ok"))
-
-
-LICENCES = "(values ('MIT OR GPL-3.0-only'), ('MIT AND Apache-2.0'), ('MIT AND GPL-3.0-only'), ('Apache-2.0 WITH LLVM-exception'), ('LicenseRef-private'), ('')) t(e)"
-
-
-@query("select e as expression, e in ('MIT OR GPL-3.0-only', 'MIT AND Apache-2.0') as allowed from " + LICENCES)
-def f8_licence_filter(spark, d):
-    return spark.sql(f"select e as expression from values ('MIT OR GPL-3.0-only'), ('MIT AND Apache-2.0'), ('MIT AND GPL-3.0-only'), ('Apache-2.0 WITH LLVM-exception'), ('LicenseRef-private'), ('') t(e)").select("expression", text.licence_allowed(F.col("expression")).alias("allowed"))
 
 
 @query("select doc_id, octet_length(encode(text)) between 100 and 1000000 as allowed from documents")
@@ -130,49 +113,6 @@ def f10_size_filter(spark, d):
     return docs(spark, d).select("doc_id", F.octet_length("text").between(100, 1_000_000).alias("allowed"))
 
 
-@query("select doc_id, case when contains(text, chr(0)) then 'NUL_BYTE' when starts_with(text, chr(65279)) then 'BOM_REMOVED' else 'OK' end as decoded from documents")
-def f11_decode_status(spark, d):
-    return docs(spark, d).select("doc_id", text.decode_status(F.col("text")).alias("decoded"))
-
-
-@query("select doc_id, regexp_matches(lower(substr(text, 1, 8192)), 'generated by|do not edit|autogenerated') as generated from documents")
-def f12_generated_marker(spark, d):
-    return docs(spark, d).select("doc_id", F.lower(F.substring("text", 1, 8192)).rlike("generated by|do not edit|autogenerated").alias("generated"))
-
-
-@query("select doc_id, (2 * coalesce(list_sum(list_transform(list_filter(string_split(text, chr(10)), lambda l: starts_with(l, 'L')), lambda l: octet_length(encode(l)))), 0) <= octet_length(encode(text))) as passes from documents")
-def f13_comment_ratio(spark, d):
-    marked = F.aggregate(F.filter(F.split("text", "\n"), lambda x: x.startswith("L")), F.lit(0), lambda s, x: s + F.octet_length(x))
-    return docs(spark, d).select("doc_id", (2 * marked <= F.octet_length("text")).alias("passes"))
-
-
-POLICY_SQL = "select doc_id, source, text, list_filter([case when lang <> 'en' then 'DIALECT_UNSUPPORTED' end, case when regexp_matches(text, '(?i)all rights reserved') then 'LICENSE_NOT_ALLOWED' end, case when octet_length(encode(text)) not between 100 and 1000000 then 'SIZE_OUT_OF_RANGE' end, case when contains(text, chr(0)) then 'NUL_BYTE' end], lambda x: x is not null) r from documents"
-
-
-@query(f"select doc_id, array_to_string(r, ',') as reasons, case when len(r) = 0 then 'POLICY_ACCEPTED' else 'REJECTED' end as status from ({POLICY_SQL})")
-def f15_reason_pipeline(spark, d):
-    return text.reasons(docs(spark, d)).select("doc_id", F.array_join("reasons", ",").alias("reasons"), "status")
-
-
-@query(f"select doc_id from ({POLICY_SQL}) where len(r) = 0")
-def f16_accepted_only(spark, d):
-    return text.reasons(docs(spark, d)).where("status = 'POLICY_ACCEPTED'").select("doc_id")
-
-
-@query("select count(*) <= 100000000 as documents_ok, sum(octet_length(encode(text))) <= 1000000000000 as bytes_ok from documents")
-def f17_capacity_guards(spark, d):
-    return docs(spark, d).agg((F.count(F.lit(1)) <= 100_000_000).alias("documents_ok"), (F.sum(F.octet_length("text")) <= 1_000_000_000_000).alias("bytes_ok"))
-
-
-@query(f"select count(*)::bigint as documents, count_if(len(r) = 0)::bigint as accepted, count_if(len(r) > 0)::bigint as rejected from ({POLICY_SQL})")
-def a1_outcome_counts(spark, d):
-    ok = F.col("status") == "POLICY_ACCEPTED"
-    return text.reasons(docs(spark, d)).agg(F.count(F.lit(1)).alias("documents"), F.count_if(ok).alias("accepted"), F.count_if(~ok).alias("rejected"))
-
-
-@query(f"select reason, count(*)::bigint as n from (select unnest(r) reason from ({POLICY_SQL})) group by reason")
-def a20_skip_counters(spark, d):
-    return text.reasons(docs(spark, d)).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quoted(pattern: str) -> str:
@@ -217,12 +157,6 @@ def m23_rope_angle(spark, d):
     return spark.range(32).withColumnRenamed("id", "pos").withColumn("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(31).cast("long")))).select("pos", "dim", F.round(F.col("pos") * F.pow(F.lit(10000.0), -2.0 * F.col("dim") / 64), 9).alias("angle"))
 
 
-@query("select doc_id, list_transform(range(8), lambda i: (4 + ('0x' || substr(hex(encode(text)), (1 + 2 * i)::int, 2))::int)::bigint)::varchar as ids from documents where octet_length(encode(text)) >= 8")
-def m18_byte_tokenize(spark, d):
-    ids = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: 4 + F.conv(F.substring(F.hex(F.col("text").cast("binary")), 1 + 2 * i, F.lit(2)), 16, 10).cast("long"))
-    return docs(spark, d).where(F.octet_length("text") >= 8).select("doc_id", F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]")).alias("ids"))
-
-
 @query("select item_id, sha256('bench:' || item_id::varchar || ':/text:prompt') as path from benchmark")
 def m29_benchmark_identity(spark, d):
     return table(spark, d, "benchmark").select("item_id", F.sha2(F.concat_ws(":", F.lit("bench"), F.col("item_id").cast("string"), F.lit("/text"), F.lit("prompt")), 256).alias("path"))
@@ -291,15 +225,6 @@ def j8_repository_join(spark, d):
     return rows.join(rows.groupBy("repo").agg(F.min("doc_id").alias("first_doc")), "repo").select("doc_id", "first_doc")
 
 
-@query("select a.s as shard, count(*)::bigint as documents from (select unnest(range(8)) s) a join (select sum(n_chars) over (order by doc_id) - n_chars st, sum(n_chars) over (order by doc_id) en from documents) b on b.st < (a.s + 1) * 100000 and a.s * 100000 < b.en group by a.s")
-def j10_range_overlap_join(spark, d):
-    """Each document range is dealt to the shards it overlaps by arithmetic, so the range join is an equi-join."""
-    en = F.sum("n_chars").over(Window.partitionBy(F.lit(0)).orderBy("doc_id"))
-    rows = docs(spark, d).select("doc_id", "n_chars").select((en - F.col("n_chars")).alias("st"), en.alias("en")).where("st < en")
-    dealt = rows.select(F.explode(F.sequence(F.floor(F.col("st") / 100000), F.floor((F.col("en") - 1) / 100000))).alias("shard"))
-    return dealt.where("shard < 8").groupBy("shard").agg(F.count(F.lit(1)).alias("documents"))
-
-
 # --- aggregations
 
 
@@ -329,18 +254,6 @@ def a6_connected_components(spark, d):
     return prepare.components(rows.select(F.col("doc_id").alias("id")), prepare.near_edges(rows)).select(F.col("id").alias("doc_id"), F.col("label").alias("cluster"))
 
 
-@query(CLUSTERS + " select label as cluster, count(*)::bigint as members, array_to_string(list_sort(list(id)), ',') as ids from cl group by label having count(*) > 1")
-def a7_cluster_rollup(spark, d):
-    found = a6_connected_components(spark, d)
-    return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.array_join(F.array_sort(F.collect_list("doc_id")), ",").alias("ids")).where("members > 1")
-
-
-@query(CLUSTERS + " select label as cluster, arg_min(id, (-n_chars, id)) as representative from cl join documents on id = doc_id group by label")
-def a8_representative(spark, d):
-    found = a6_connected_components(spark, d).join(docs(spark, d).select("doc_id", "n_chars"), "doc_id")
-    return found.groupBy("cluster").agg(F.min_by("doc_id", F.struct(-F.col("n_chars"), "doc_id")).alias("representative"))
-
-
 @query(CLUSTERS + ", m as (select distinct doc_id from documents d join benchmark b on contains(d.text, b.text)) select label as cluster, bool_or(m.doc_id is not null) as contaminated from cl left join m on m.doc_id = cl.id group by label")
 def a9_cluster_contaminated(spark, d):
     hits = j7_substring_join(spark, d).select("doc_id").distinct().withColumn("hit", F.lit(True))
@@ -376,19 +289,6 @@ def a13_corpus_accounting(spark, d):
     return tokened(spark, d).agg(F.sum("stored").alias("total"), F.least(train, F.lit(200000)).alias("prefix"), (train >= 200000).alias("satisfied"))
 
 
-@query(f"select a as left_token, b as right_token, count(*)::bigint as n from (select unnest(tk[:-2]) a, unnest(tk[2:]) b from (select {TOKENS} tk from documents) where len(tk) > 1) group by all having count(*) >= 20")
-def a15_pair_counts(spark, d):
-    tk = text.lexical_tokens(text.newline_normalize(F.col("text")))
-    rows = docs(spark, d).select(tk.alias("tk")).where(F.size("tk") > 1)
-    pairs = rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("tk") - 1), lambda i: F.struct(F.get("tk", i - 1).alias("left_token"), F.get("tk", i).alias("right_token")))).alias("p"))
-    return pairs.select("p.*").groupBy("left_token", "right_token").agg(F.count(F.lit(1)).alias("n")).where("n >= 20")
-
-
-@query("select event_type, round(sum(value) / count(*), 9) as loss, count(*)::bigint as targets from events group by event_type")
-def a16_aggregate_loss(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.round(F.sum("value") / F.count(F.lit(1)), 9).alias("loss"), F.count(F.lit(1)).alias("targets"))
-
-
 @query(f"with t as (select unnest({TOKENS}) w, doc_id % 10 = 0 held from documents), c as (select w, count_if(not held) t, count_if(held) h from t group by w), s as (select sum(t) n, count(*) v from c) select round(sum(-h * ln((t + 1) / (n + v)::double)), 6) as nll, sum(h)::bigint as targets from c, s")
 def a17_unigram_nll(spark, d):
     tk = text.lexical_tokens(text.newline_normalize(F.col("text")))
@@ -398,17 +298,6 @@ def a17_unigram_nll(spark, d):
     return c.join(F.broadcast(s)).agg(F.round(F.sum(-F.col("h") * F.log((F.col("t") + 1) / (F.col("n") + F.col("v")).cast("double"))), 6).alias("nll"), F.sum("h").alias("targets"))
 
 
-@query("select event_type, count(*)::bigint as samples, min(value) as least, max(value) as most, count_if(value > 50)::bigint as high from events group by event_type")
-def a19_profile_summary(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("samples"), F.min("value").alias("least"), F.max("value").alias("most"), F.count_if(F.col("value") > 50).alias("high"))
-
-
-@query("select max(abs(l_quantity - l_extendedprice / 1000)) as max_abs, round(sqrt(sum(pow(l_quantity - l_extendedprice / 1000, 2))) / sqrt(sum(pow(l_quantity, 2))), 9) as rel_l2, round(sum(l_quantity * l_extendedprice) / (sqrt(sum(pow(l_quantity, 2))) * sqrt(sum(pow(l_extendedprice, 2)))), 9) as cosine from lineitem")
-def a22_error_metrics(spark, d):
-    a, b = F.col("l_quantity"), F.col("l_extendedprice")
-    return table(spark, d, "lineitem").agg(F.max(F.abs(a - b / 1000)).alias("max_abs"), F.round(F.sqrt(F.sum(F.pow(a - b / 1000, 2))) / F.sqrt(F.sum(F.pow(a, 2))), 9).alias("rel_l2"), F.round(F.sum(a * b) / (F.sqrt(F.sum(F.pow(a, 2))) * F.sqrt(F.sum(F.pow(b, 2)))), 9).alias("cosine"))
-
-
 @query("select round(least(1, 1 / sqrt(sum(x * x))), 9) as scale from (select unnest(embedding)::double x from embeddings)")
 def a23_grad_clip_scale(spark, d):
     x = table(spark, d, "embeddings").select(F.explode("embedding").alias("x")).select(F.col("x").cast("double").alias("x"))

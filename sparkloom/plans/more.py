@@ -124,17 +124,6 @@ def f9_removal_filter(spark, d):
     return core.j4_removal_semi_join(spark, d).where("not removed").select("doc_id")
 
 
-@query()
-def f14_syntax_filter(spark, d):
-    return docs(spark, d).select("doc_id", python_code.parse_facts("text").alias("f")).select("doc_id", "f.*")
-
-
-@query("select e as expression, e in ('MIT OR GPL-3.0-only', 'MIT AND (ISC OR Zlib)') as allowed from (values ('MIT OR GPL-3.0-only'), ('MIT AND (ISC OR Zlib)'), ('(MIT'), ('MIT WITH X'), ('MIT AND GPL-3.0-only'), ('')) t(e)")
-def f8_licence_brackets(spark, d):
-    rows = spark.createDataFrame([(e,) for e in ("MIT OR GPL-3.0-only", "MIT AND (ISC OR Zlib)", "(MIT", "MIT WITH X", "MIT AND GPL-3.0-only", "")], "expression string")
-    return rows.select("expression", python_code.licence_udf(text.PERMISSIVE)("expression").alias("allowed"))
-
-
 RANGES = "list_filter(string_split(text, chr(10)), lambda l: starts_with(l, 'L'))"
 
 
@@ -142,20 +131,6 @@ def marked():
     return F.filter(F.split("text", "\n"), lambda x: x.startswith("L"))
 
 
-@query(f"select doc_id, coalesce(list_sum(list_transform({RANGES}, lambda l: octet_length(encode(l)))), 0)::bigint as comment_bytes from documents")
-def a21_comment_bytes(spark, d):
-    return docs(spark, d).select("doc_id", F.aggregate(marked(), F.lit(0).cast("long"), lambda s, x: s + F.octet_length(x)).alias("comment_bytes"))
-
-
-@query("with l as (select conv_id, turn, length(text) n, sum(length(text)) over (partition by conv_id order by turn) e from conversations) select conv_id, bool_and(n >= 0 and coalesce(b, 0) <= e - n) as valid from (select *, lag(e) over (partition by conv_id order by turn) b from l) group by conv_id")
-def f18_range_validity(spark, d):
-    """Each turn's range starts where the one before ends or later."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    rows = table(spark, d, "conversations").select("conv_id", "turn", F.length("text").alias("n"), F.sum(F.length("text")).over(w).alias("e"))
-    ok = (F.col("n") >= 0) & (F.coalesce(F.col("b"), F.lit(0)) <= F.col("e") - F.col("n"))
-    return rows.withColumn("b", F.lag("e").over(w)).groupBy("conv_id").agg(F.bool_and(ok).alias("valid"))
-
-
 # --- signatures and candidate joins
 
 BASE = "(('0x' || substr(md5(s), 1, 15))::bigint)::hugeint"
@@ -172,11 +147,6 @@ def affine_minima(rows: DataFrame, key: str) -> DataFrame:
     return spread.groupBy(key).agg(*[F.min((big(a) * F.col("x") + big(b)) % big(P)).cast("long").alias(f"m{i}") for i, (a, b) in enumerate(MAPS)])
 
 
-@query(f"select * from {SIGNED}")
-def a3_minhash_signature(spark, d):
-    return affine_minima(prepare.prepared(docs(spark, d)), "doc_id")
-
-
 BANDED = f"(select doc_id, unnest([0, 1, 2, 3])::int band, unnest([sha256('0:' || m0::varchar || ':' || m1::varchar), sha256('1:' || m2::varchar || ':' || m3::varchar), sha256('2:' || m4::varchar || ':' || m5::varchar), sha256('3:' || m6::varchar || ':' || m7::varchar)]) as key from {SIGNED})"
 
 
@@ -185,47 +155,9 @@ def banded(signed: DataFrame, key: str) -> DataFrame:
     return signed.select(key, F.posexplode(keys).alias("band", "key"))
 
 
-@query(f"select * from {BANDED}")
-def a4_lsh_band_keys(spark, d):
-    return banded(a3_minhash_signature(spark, d), "doc_id")
-
-
-@query(f"select band, key, count(*)::bigint as n, min(doc_id) as first_doc from {BANDED} group by all having count(*) > 1")
-def j2_lsh_self_join(spark, d):
-    """Documents that meet in a band, as groups with their first member: the join's links without a row for each pair."""
-    return a4_lsh_band_keys(spark, d).groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
-
-
 ITEM_SIGNED = SIGNED.replace("doc_id", "item_id").replace("item_id, source, text", "item_id, text").replace("documents", "benchmark")
 
 
-@query(f"select distinct a.doc_id, b.item_id from {BANDED} a join {BANDED.replace(SIGNED, ITEM_SIGNED).replace('doc_id', 'item_id')} b using (band, key)")
-def j2b_lsh_bench_join(spark, d):
-    items = table(spark, d, "benchmark").select("item_id", text.shingles(tk_of()).alias("shingles"))
-    protected = banded(affine_minima(items, "item_id"), "item_id")
-    return a4_lsh_band_keys(spark, d).join(protected, ["band", "key"]).select("doc_id", "item_id").distinct()
-
-
-@query(f"select a.doc_id as u, b.doc_id as v, len(list_intersect(a.sh, b.sh))::int as common, (100 * len(list_intersect(a.sh, b.sh)) > 85 * (len(a.sh) + len(b.sh) - len(list_intersect(a.sh, b.sh)))) as near from {PREP} a join {PREP} b on b.doc_id = a.doc_id + 1")
-def a5_jaccard(spark, d):
-    """Overlap of each document with the next one."""
-    rows = prepare.prepared(docs(spark, d)).select("doc_id", "shingles")
-    a, b = rows.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), rows.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
-    common = F.size(F.array_intersect("su", "sv"))
-    return a.join(b, F.col("v") == F.col("u") + 1).select("u", "v", common.alias("common"), (100 * common > 85 * (F.size("su") + F.size("sv") - common)).alias("near"))
-
-
-@query(f"select u, v, len(list_intersect(a.sh, b.sh))::int as common, (100 * len(list_intersect(a.sh, b.sh)) > 85 * (len(a.sh) + len(b.sh) - len(list_intersect(a.sh, b.sh)))) as near from (select distinct a.doc_id u, b.doc_id v from {BANDED} a join {BANDED} b using (band, key) where a.doc_id < b.doc_id) join {PREP} a on a.doc_id = u join {PREP} b on b.doc_id = v")
-def a5b_candidate_jaccard(spark, d):
-    """Overlap of all pairs that meet in a band."""
-    keys = a4_lsh_band_keys(spark, d)
-    pairs = keys.withColumnRenamed("doc_id", "u").join(keys.withColumnRenamed("doc_id", "v"), ["band", "key"]).where("u < v").select("u", "v").distinct()
-    rows = prepare.prepared(docs(spark, d)).select("doc_id", "shingles")
-    a, b = rows.select(F.col("doc_id").alias("u"), F.col("shingles").alias("su")), rows.select(F.col("doc_id").alias("v"), F.col("shingles").alias("sv"))
-    common = F.size(F.array_intersect("su", "sv"))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", common.alias("common"), (100 * common > 85 * (F.size("su") + F.size("sv") - common)).alias("near"))
-
-
 @query(f"select d.doc_id, b.item_id from (select doc_id, {TOKENS} tk from documents) d join (select item_id, {TOKENS} tk from benchmark) b on d.tk = b.tk where len(b.tk) < 50")
 def j6_short_sequence_join(spark, d):
     b = table(spark, d, "benchmark").select("item_id", tk_of().alias("bt")).where(F.size("bt") < 50).select("item_id", "bt", F.xxhash64("bt").alias("h"))
@@ -328,14 +260,6 @@ def w15_input_target_shift(spark, d):
     return token_docs(spark, d).where(n > 0).select("doc_id", hashed(F.slice(ids, 1, n)).alias("inputs"), hashed(F.slice(ids, 2, n)).alias("targets"))
 
 
-@query(f"select a as left_token, b as right_token, count(*)::bigint as n from (select unnest(tk[:-2]) a, unnest(tk[2:]) b from (select {TOKENS} tk from documents) where len(tk) > 1) group by all")
-def a15b_all_pair_counts(spark, d):
-    tk = tk_of()
-    rows = docs(spark, d).select(tk.alias("tk")).where(F.size("tk") > 1)
-    pairs = rows.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("tk") - 1), lambda i: F.struct(F.get("tk", i - 1).alias("left_token"), F.get("tk", i).alias("right_token")))).alias("p"))
-    return pairs.select("p.*").groupBy("left_token", "right_token").agg(F.count(F.lit(1)).alias("n"))
-
-
 # --- order and samples
 
 
@@ -346,16 +270,6 @@ def t3_fisher_yates_order(spark, d):
     return order.span_order(spark, n, order.span_seed("sparkloom/span/v1", "00" * 32, "11" * 32))
 
 
-@query("select i * 2048 as first_target, row_number() over (order by sha256('span' || (i * 2048)::varchar), i) - 1 as ord from range(5000) t(i)")
-def t3b_hash_order(spark, d):
-    """The order by digests that needs no sequential exchange: buckets of the digest's first digits are ranked apart."""
-    rows = spark.range(5000).select((F.col("id") * 2048).alias("first_target")).withColumn("h", F.sha2(F.concat(F.lit("span"), F.col("first_target").cast("string")), 256))
-    rows = rows.withColumn("bucket", F.substring("h", 1, 2))
-    before = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b"))
-    at = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "first_target")) - 1
-    return rows.withColumn("at", at).join(F.broadcast(before), "bucket").select("first_target", (F.col("b") + F.col("at")).alias("ord"))
-
-
 @query(f"select first_id as first_target, row_number() over (order by sha256('span' || first_id::varchar), first_id) - 1 as ord from ({WINDOWS}) where split = 'train'")
 def t3c_hash_order_spans(spark, d):
     """The order of t3b over all spans of the train split."""
@@ -448,14 +362,6 @@ def m19_bpe_train(spark, d):
     return spark.createDataFrame([(bpe.FIRST_MERGE + i, a, b) for i, (a, b) in enumerate(rules)], "id int, left_id int, right_id int")
 
 
-@query("select doc_id, len(ids)::bigint as n, sha256(array_to_string(ids, ' ')) as digest from (select doc_id, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: 4 + ('0x' || x)::int) ids from documents where text is not null)")
-def m18b_byte_tokenize_all(spark, d):
-    """Every byte of every text."""
-    ids = F.transform(F.regexp_extract_all(F.hex(F.col("text").cast("binary")), F.lit(".."), F.lit(0)), lambda x: 4 + F.conv(x, 16, 10).cast("long"))
-    rows = docs(spark, d).where("text is not null").select("doc_id", ids.alias("ids"))
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n"), F.sha2(F.array_join("ids", " "), 256).alias("digest"))
-
-
 @query()
 def m16_bpe_encode(spark, d):
     found = bpe.encode(docs(spark, d), rules_of(spark, d))
@@ -511,19 +417,6 @@ def m26_rerun_phases(spark, d):
     return rows.select("changed", F.array_join(F.slice(chain, F.array_position(chain, first).cast("int"), F.lit(len(PHASES))), ",").alias("phases"))
 
 
-@query(f"select source, sha256(string_agg(sha, '' order by sha)) as snapshots, count(*)::bigint as n from (select distinct source, sha256(text) sha from documents) group by source")
-def m28_governed_metadata(spark, d):
-    """The digest that binds a source to its sorted snapshot digests."""
-    rows = docs(spark, d).select("source", F.sha2("text", 256).alias("sha")).distinct()
-    return rows.groupBy("source").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha")), ""), 256).alias("snapshots"), F.count(F.lit(1)).alias("n"))
-
-
-@query()
-def m15_m30_fragments(spark, d):
-    rows = spark.createDataFrame([("def f():\n    return 1\n",), ("return 1\n",), ("assert f(1) == 2",), ("x = = 1",)], "code string")
-    return rows.select("code", python_code.parse_facts("code").alias("f")).select("code", "f.parsed", "f.standalone", "f.n_tokens")
-
-
 @query("select count(*)::bigint as items, count(distinct item_id) = count(*) as unique_ids, count_if(text is null or text = '') = 0 as whole from benchmark")
 def m32_benchmark_manifest_guard(spark, d):
     return table(spark, d, "benchmark").agg(F.count(F.lit(1)).alias("items"), (F.count_distinct("item_id") == F.count(F.lit(1))).alias("unique_ids"), (F.count_if(F.col("text").isNull() | (F.col("text") == "")) == 0).alias("whole"))

@@ -43,7 +43,14 @@ def planted(spark, d) -> DataFrame:
 PLANTED = f"(select doc_id, text || chr(10) || {sql_list(LINES)}[(doc_id % {len(LINES)} + 1)::int] as text from documents)"
 INNER = "list_transform(regexp_extract_all(run, {0}), lambda f: regexp_replace(f, '^[rRbBuUfF]{{0,2}}', ''))".format(quoted(S.FRAGMENT))
 VALUE = f"array_to_string(list_transform({INNER}, lambda q: case when (starts_with(q, '''''''') or starts_with(q, '\"\"\"')) and length(q) >= 6 then substr(q, 4, length(q) - 6) else substr(q, 2, length(q) - 2) end), '')"
-PAIRS = f"(select doc_id, name, {VALUE} v from (select doc_id, lower(regexp_extract(l, {quoted(S.ASSIGNED)}, 1)) as name, regexp_extract(l, {quoted(S.ASSIGNED)}, 2) as run from (select doc_id, unnest(string_split(text, chr(10))) l from {PLANTED}) where contains(l, '=')) where name <> '')"
+
+
+def pairs_sql(source: str) -> str:
+    """``doc_id, name, v`` of the assignments in a table of ``doc_id, text``."""
+    return f"(select doc_id, name, {VALUE} v from (select doc_id, lower(regexp_extract(l, {quoted(S.ASSIGNED)}, 1)) as name, regexp_extract(l, {quoted(S.ASSIGNED)}, 2) as run from (select doc_id, unnest(string_split(text, chr(10))) l from {source}) where contains(l, '=')) where name <> '')"
+
+
+PAIRS = pairs_sql(PLANTED)
 CLASSES = "(regexp_matches(v, '[a-z]')::int + regexp_matches(v, '[A-Z]')::int + regexp_matches(v, '[0-9]')::int + regexp_matches(v, '[^A-Za-z0-9]')::int)"
 BYTES = "regexp_extract_all(hex(encode(v)), '..')"
 ENTROPY = f"(-list_sum(list_transform(list_distinct({BYTES}), lambda c: (len(list_filter({BYTES}, lambda o: o = c)) / len({BYTES})::double) * log2(len(list_filter({BYTES}, lambda o: o = c)) / len({BYTES})::double))))"
@@ -75,10 +82,17 @@ BY_PAIR = {
 RULES = {**S.CONFIRMED, **S.UNCERTAIN}
 
 
-def hits(rule: str) -> str:
+def hits(rule: str, source: str = PLANTED) -> str:
     """The documents in which a rule finds something."""
-    parts = [f"select doc_id from {PLANTED} where {BY_TEXT[rule]}"] if rule in BY_TEXT else []
-    return " union ".join([*parts, *([f"select doc_id from {PAIRS} where {BY_PAIR[rule]}"] if rule in BY_PAIR else [])])
+    parts = [f"select doc_id from {source} where {BY_TEXT[rule]}"] if rule in BY_TEXT else []
+    return " union ".join([*parts, *([f"select doc_id from {pairs_sql(source)} where {BY_PAIR[rule]}"] if rule in BY_PAIR else [])])
+
+
+def verdict_sql(source: str) -> str:
+    """``doc_id, status, rules`` of a table of ``doc_id, text``."""
+    found = " union all ".join(f"select doc_id, {quoted(r)} as rule_id, {int(r in S.CONFIRMED)} as sure from ({hits(r, source)})" for r in RULES)
+    won = f"select h.doc_id, w.sure, array_to_string(list_sort(list(rule_id)), ',') as rules from ({found}) h join (select doc_id, max(sure) as sure from ({found}) group by doc_id) w on h.doc_id = w.doc_id and h.sure = w.sure group by all"
+    return f"select d.doc_id, case sure when 1 then 'REJECTED' when 0 then 'QUARANTINED' else 'ACCEPTED' end as status, coalesce(rules, '') as rules from {source} d left join ({won}) r on r.doc_id = d.doc_id"
 
 
 def rule(name: str, rule_id: str) -> None:
@@ -125,12 +139,9 @@ def m7_iban_mod97(spark, d):
     return table(spark, d, "customer").select("c_custkey", S.iban(code).alias("valid"))
 
 
-CONFIRMED_SQL = " union all ".join(f"select doc_id, {quoted(r)} as rule_id, 1 as sure from ({hits(r)})" for r in S.CONFIRMED)
-UNCERTAIN_SQL = " union all ".join(f"select doc_id, {quoted(r)}, 0 from ({hits(r)})" for r in S.UNCERTAIN)
-VERDICT = f"with h as ({CONFIRMED_SQL} union all {UNCERTAIN_SQL}), w as (select doc_id, max(sure) as sure from h group by doc_id), r as (select h.doc_id, w.sure, array_to_string(list_sort(list(rule_id)), ',') as rules from h join w on h.doc_id = w.doc_id and h.sure = w.sure group by all)"
 QUERIES |= {f.__name__: f for f in (p12_verdict, p4_named_secret_entropy, p13_secret_name_match, m6_luhn, m7_iban_mod97)}
 SQL |= {
-    "p12_verdict": f"{VERDICT} select d.doc_id, case sure when 1 then 'REJECTED' when 0 then 'QUARANTINED' else 'ACCEPTED' end as status, coalesce(rules, '') as rules from documents d left join r on r.doc_id = d.doc_id",
+    "p12_verdict": verdict_sql(PLANTED),
     "p4_named_secret_entropy": f"select doc_id, v as value, round({ENTROPY}, 9) as entropy, {CLASSES} as classes from {PAIRS} where {SECRET} and v <> '' and strlen(v) <= 256",
     "p13_secret_name_match": f"select user_id, event_id, regexp_matches(lower(event_type), {quoted(S.ending(S.SECRET_NAMES))}) as secret from events",
     "m6_luhn": f"select o_orderkey, {LUHN} as valid from (select o_orderkey, lpad((o_orderkey * 7919 + 4000000000000000)::varchar, 16, '0') x from orders)",

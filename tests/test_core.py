@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom import catalog
-from sparkloom.functions import sensitive
+from sparkloom.functions import python_code, sensitive
 from sparkloom.operators import prepare, text
 from sparkloom.plans import core
 
@@ -82,8 +82,28 @@ def test_sensitive_rules_take_nulls_and_long_texts(spark):
 
 
 def test_sizes_and_decoding(spark):
-    df = spark.createDataFrame([("x" * 99, "en"), ("x" * 100, "en"), ("a\0b" * 50, "en"), ("x" * 100, "de")], "text string, lang string")
-    assert [r["reasons"] for r in text.reasons(df).collect()] == [["SIZE_OUT_OF_RANGE"], [], ["NUL_BYTE"], ["DIALECT_UNSUPPORTED"]]
+    df = spark.createDataFrame([(b"x" * 99, "python3"), (b"x" * 100, "python3"), (b"a\0b" * 50, "python3"), (b"x" * 100, "python2"), (b"", "python3"), (b"# " + b"x" * 99 + b"\n" + b"y" * 102, "python3"), (b"# " + b"x" * 99 + b"\n" + b"y" * 99, "python3")], "raw binary, dialect string")
+    df = df.withColumns({"licence": F.lit("MIT"), "removed": F.lit(False)})
+    assert [r["reasons"] for r in text.reasons(df).collect()] == [["SIZE_OUT_OF_RANGE"], [], ["NUL_BYTE"], ["DIALECT_UNSUPPORTED"], ["SIZE_OUT_OF_RANGE"], [], ["COMMENT_RATIO_EXCEEDED"]]
+
+
+# Encodings and licence expressions with what must come of them.
+DECODED = [(b"# coding: latin-1\n", "ENCODING_UNSUPPORTED"), (b"# coding: utf-8\n# coding: ascii\n", "ENCODING_CONFLICT"), (b"a\0", "NUL_BYTE"), (b"\xff", "ENCODING_INVALID"), (b"\xef\xbb\xbfx", "BOM_REMOVED"), ("# coding: ascii\né".encode(), "ENCODING_INVALID")]
+LICENCES = [("MIT OR GPL-3.0-only", True), ("MIT AND Apache-2.0", True), ("MIT AND GPL-3.0-only", False), ("Apache-2.0 WITH LLVM-exception", False), ("LicenseRef-private", False), ("", False), ("(MIT", False), ("MIT AND (ISC OR Zlib)", True), ("MIT-0", True), ("Unlicense", False)]
+
+
+def test_encodings_and_licences(spark):
+    raw = spark.createDataFrame(DECODED, "raw binary, want string")
+    assert all(r[0] == r[1] for r in raw.select(text.decode_status(F.col("raw")), "want").collect())
+    rows = spark.createDataFrame(LICENCES, "e string, want boolean")
+    assert all(r[0] == r[1] for r in rows.select(python_code.licence_udf(text.PERMISSIVE)("e"), "want").collect())
+
+
+def test_generated_marks_count_within_the_head_of_a_comment(spark):
+    pad = "x = 1\n" * 1400
+    codes = ["# DO NOT EDIT\n", "s = 'do not edit'\n", pad + "# do not edit\n", "x = 1\n" * 1364 + "# do not edit\n", "# é Auto-Generated é\n"]
+    df = spark.createDataFrame([(c,) for c in codes], "code string").select(F.col("code").cast("binary").alias("raw"), python_code.parse_facts("code").alias("f"))
+    assert [r[0] for r in df.select(text.generated_marker(F.col("raw"), F.col("f.comments"))).collect()] == [True, False, False, False, True]
 
 
 def test_signature_is_the_exact_affine_minimum(spark):
@@ -108,12 +128,3 @@ def test_substring_join_of_short_items(spark, tmp_path):
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = sorted(tuple(r) for r in core.j7_substring_join(spark, str(tmp_path)).collect())
     assert got == sorted((i, k) for i, t in enumerate(texts) for k, x in enumerate(items) if t is not None and x is not None and x in t)
-
-
-def test_whole_texts_and_rare_pairs(spark, tmp_path):
-    texts = ["short", "é and more than eight bytes", "", None]
-    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    run = lambda name: catalog.queries()[name](spark, str(tmp_path)).collect()
-    whole = lambda t: [str(4 + x) for x in t.encode()]
-    assert {(r["doc_id"], r["n"], r["digest"]) for r in run("m18b_byte_tokenize_all")} == {(i, len(whole(t)), hashlib.sha256(" ".join(whole(t)).encode()).hexdigest()) for i, t in enumerate(texts) if t is not None}
-    assert ("than", "eight", 1) in {tuple(r) for r in run("a15b_all_pair_counts")}
