@@ -233,16 +233,14 @@ def a2_exact_dup_groups(spark, d):
     return docs(spark, d).groupBy(F.sha2("text", 256).alias("sha")).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
-@query(f"with p as (select doc_id, sh from {PREP}), x as (select doc_id, unnest(sh) s from p), c as (select a.doc_id u, b.doc_id v, count(*) i from x a join x b on a.s = b.s and a.doc_id < b.doc_id group by all), n as (select doc_id, len(sh) n from p) select u, v from c join n a on u = a.doc_id join n b on v = b.doc_id where 100 * i > 85 * (a.n + b.n - i)")
+FIRSTS = f"(select min(doc_id) doc_id, sh from (select doc_id, list_sort(sh) sh from {PREP}) group by sh)"
+
+
+@query(f"with p as {FIRSTS}, x as (select doc_id, unnest(sh) s from p), c as (select a.doc_id u, b.doc_id v, count(*) i from x a join x b on a.s = b.s and a.doc_id < b.doc_id group by all), n as (select doc_id, len(sh) n from p) select u, v from c join n a on u = a.doc_id join n b on v = b.doc_id where 100 * i > 85 * (a.n + b.n - i)")
 def j3_near_pairs(spark, d):
-    """Exact pairs above 0.85 by shingle counts, through the LSH candidates' clusters expanded for comparison."""
-    rows = prepare.prepared(docs(spark, d))
-    ids = rows.select(F.col("doc_id").alias("id"))
-    labels = prepare.components(ids, prepare.near_edges(rows))
-    sets = rows.join(labels, F.col("doc_id") == F.col("id")).select("doc_id", "label", "shingles")
-    a = sets.select(F.col("doc_id").alias("u"), "label", F.col("shingles").alias("su"))
-    b = sets.select(F.col("doc_id").alias("v"), "label", F.col("shingles").alias("sv"))
-    return a.join(b, "label").where("u < v").where(100 * F.size(F.array_intersect("su", "sv")) > 85 * F.size(F.array_union("su", "sv"))).select("u", "v")
+    """Pairs above 0.85 of the first documents of equal shingle sets, by the candidates of the bands."""
+    sets, _ = prepare.classes(docs(spark, d))
+    return prepare.near(prepare.candidates(sets), sets)
 
 
 CLUSTERS = f"with recursive p as (select doc_id, source, sh from {PREP}), x as (select doc_id, unnest(sh) s from p), c as (select a.doc_id u, b.doc_id v, count(*) i from x a join x b on a.s = b.s and a.doc_id < b.doc_id group by all), n as (select doc_id, len(sh) n from p), e as (select u, v from c join n a on u = a.doc_id join n b on v = b.doc_id where 100 * i > 85 * (a.n + b.n - i)), ee as (select u, v from e union select v, u from e), r as (select doc_id id, doc_id l from documents union select ee.v, r.l from r join ee on r.id = ee.u), cl as (select id, min(l) label from r group by id)"
@@ -250,8 +248,8 @@ CLUSTERS = f"with recursive p as (select doc_id, source, sh from {PREP}), x as (
 
 @query(CLUSTERS + " select id as doc_id, label as cluster from cl")
 def a6_connected_components(spark, d):
-    rows = prepare.prepared(docs(spark, d))
-    return prepare.components(rows.select(F.col("doc_id").alias("id")), prepare.near_edges(rows)).select(F.col("id").alias("doc_id"), F.col("label").alias("cluster"))
+    rows = docs(spark, d)
+    return prepare.labelled(rows.select(F.col("doc_id").alias("id")), prepare.near_edges(rows)).select(F.col("id").alias("doc_id"), F.col("label").alias("cluster"))
 
 
 @query(CLUSTERS + ", m as (select distinct doc_id from documents d join benchmark b on contains(d.text, b.text)) select label as cluster, bool_or(m.doc_id is not null) as contaminated from cl left join m on m.doc_id = cl.id group by label")
@@ -265,8 +263,8 @@ SPLIT = CLUSTERS + f", g as (select id, label, {REPO} repo from cl join document
 
 @query(SPLIT + " select doc_id, component, bucket, case when bucket < 9800 then 'train' when bucket < 9900 then 'validation' else 'test' end as split from bk")
 def flagship_prepare(spark, d):
-    rows = prepare.prepared(docs(spark, d))
-    clusters = prepare.components(rows.select(F.col("doc_id").alias("id")), prepare.near_edges(rows))
+    rows = docs(spark, d)
+    clusters = prepare.labelled(rows.select(F.col("doc_id").alias("id")), prepare.near_edges(rows))
     return prepare.splits(clusters, docs(spark, d).select("doc_id", repo().alias("repo")))
 
 

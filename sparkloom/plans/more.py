@@ -124,38 +124,54 @@ def f9_removal_filter(spark, d):
     return core.j4_removal_semi_join(spark, d).where("not removed").select("doc_id")
 
 
-RANGES = "list_filter(string_split(text, chr(10)), lambda l: starts_with(l, 'L'))"
+# --- signatures and candidate joins
 
 
-def marked():
-    return F.filter(F.split("text", "\n"), lambda x: x.startswith("L"))
+def signed_sql(sets: str, key: str = "doc_id") -> str:
+    """``key, i, m``: the minima of the affine maps, from a table of ``key, sh``."""
+    bits = "('0x' || substr(md5({0}), 1, 15))::bigint"
+    return f"(select {key}, i, min((a * x + b) % {P}::hugeint)::bigint m from (select {key}, {bits.format('unnest(sh)')}::hugeint x from {sets}) cross join (select i, (1 + {bits.format(chr(39) + 'a' + chr(39) + ' || i')})::hugeint a, {bits.format(chr(39) + 'b' + chr(39) + ' || i')}::hugeint b from range({prepare.COMPONENTS}) t(i)) group by {key}, i)"
 
 
-# --- signatures and candidate joins
+def banded_sql(sets: str, key: str = "doc_id") -> str:
+    """``key, band, key``: the digests of each run of components."""
+    return f"(select {key}, band, ('0x' || substr(sha256(band::varchar || ':' || string_agg(m::varchar, ':' order by i)), 1, 15))::bigint as key from (select *, (i // {prepare.ROWS})::int band from {signed_sql(sets, key)}) group by {key}, band)"
+
+
+ITEMS = f"(select item_id, {core.SHINGLES} sh from (select item_id, {TOKENS} tk from benchmark))"
+
 
-BASE = "(('0x' || substr(md5(s), 1, 15))::bigint)::hugeint"
-MAPS = prepare.coefficients(8, seed=21)
-SIG = ", ".join(f"min(({a}::hugeint * {BASE} + {b}::hugeint) % {P}::hugeint)::bigint as m{i}" for i, (a, b) in enumerate(MAPS))
-SIGNED = f"(select doc_id, {SIG} from (select doc_id, unnest(sh) s from {PREP}) group by doc_id)"
+@query(f"select doc_id, count(*)::int as n, md5(string_agg(m::varchar, ',' order by i)) as digest from {signed_sql(PREP)} group by doc_id")
+def a3_minhash_signature(spark, d):
+    """A digest of each document's signature of 256 components."""
+    found = prepare.signatures(prepare.hashed(docs(spark, d)))
+    return found.select("doc_id", F.size("signature").alias("n"), F.md5(F.array_join("signature", ",")).alias("digest"))
 
 
-def affine_minima(rows: DataFrame, key: str) -> DataFrame:
-    """Eight exact minima in decimal arithmetic; production signatures come from ``prepare.signatures``."""
-    big = lambda x: F.lit(str(x)).cast("decimal(19,0)")
-    x = F.conv(F.substring(F.md5("s"), 1, 15), 16, 10).cast("decimal(19,0)")
-    spread = rows.select(key, F.explode("shingles").alias("s")).select(key, x.alias("x"))
-    return spread.groupBy(key).agg(*[F.min((big(a) * F.col("x") + big(b)) % big(P)).cast("long").alias(f"m{i}") for i, (a, b) in enumerate(MAPS)])
+@query(f"select * from {banded_sql(PREP)}")
+def a4_lsh_band_keys(spark, d):
+    return prepare.bands(prepare.signatures(prepare.hashed(docs(spark, d))))
 
 
-BANDED = f"(select doc_id, unnest([0, 1, 2, 3])::int band, unnest([sha256('0:' || m0::varchar || ':' || m1::varchar), sha256('1:' || m2::varchar || ':' || m3::varchar), sha256('2:' || m4::varchar || ':' || m5::varchar), sha256('3:' || m6::varchar || ':' || m7::varchar)]) as key from {SIGNED})"
+@query(f"select band, key, count(*)::bigint as n, min(doc_id) as first_doc from {banded_sql(PREP)} group by all having count(*) > 1")
+def j2_lsh_self_join(spark, d):
+    """Documents that meet in a band, as groups with their first member: the join's links without a row for each pair."""
+    return a4_lsh_band_keys(spark, d).groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1")
 
 
-def banded(signed: DataFrame, key: str) -> DataFrame:
-    keys = F.array(*[F.sha2(F.concat_ws(":", F.lit(str(i)), F.col(f"m{2 * i}").cast("string"), F.col(f"m{2 * i + 1}").cast("string")), 256) for i in range(4)])
-    return signed.select(key, F.posexplode(keys).alias("band", "key"))
+@query(f"select distinct a.doc_id, b.item_id from {banded_sql(PREP)} a join {banded_sql(ITEMS, 'item_id')} b using (band, key)")
+def j2b_lsh_bench_join(spark, d):
+    items = prepare.hashed(table(spark, d, "benchmark"), "item_id")
+    protected = prepare.bands(prepare.signatures(items, key="item_id"), key="item_id")
+    return a4_lsh_band_keys(spark, d).join(protected, ["band", "key"]).select("doc_id", "item_id").distinct()
 
 
-ITEM_SIGNED = SIGNED.replace("doc_id", "item_id").replace("item_id, source, text", "item_id, text").replace("documents", "benchmark")
+@query(f"with f as {core.FIRSTS}, k as {banded_sql('f')} select u, v, len(list_intersect(a.sh, b.sh))::int as common, (100 * len(list_intersect(a.sh, b.sh)) > 85 * (len(a.sh) + len(b.sh) - len(list_intersect(a.sh, b.sh)))) as near from (select distinct a.doc_id u, b.doc_id v from k a join k b using (band, key) where a.doc_id < b.doc_id) join f a on a.doc_id = u join f b on b.doc_id = v")
+def a5_jaccard(spark, d):
+    """Overlap of all pairs that meet in a band, of the first documents of equal shingle sets."""
+    sets, _ = prepare.classes(docs(spark, d))
+    found = prepare.overlaps(prepare.candidates(sets), sets)
+    return found.select("u", "v", "common", (100 * F.col("common") > 85 * (F.col("sizes") - F.col("common"))).alias("near"))
 
 
 @query(f"select d.doc_id, b.item_id from (select doc_id, {TOKENS} tk from documents) d join (select item_id, {TOKENS} tk from benchmark) b on d.tk = b.tk where len(b.tk) < 50")

@@ -1,7 +1,7 @@
 """The library's queries against their SQL on the smallest tables, and fixture vectors of single operators."""
 
-import hashlib
 import os
+import random
 
 import duckdb
 import pytest
@@ -107,11 +107,51 @@ def test_generated_marks_count_within_the_head_of_a_comment(spark):
 
 
 def test_signature_is_the_exact_affine_minimum(spark):
-    df = spark.createDataFrame([(1, ["a b c d e", "b c d e f"]), (2, ["short "])], "doc_id long, shingles array<string>")
-    got = {r["doc_id"]: r["signature"] for r in prepare.signatures(df, 16).collect()}
-    hashes = {r["doc_id"]: [x % 2**64 >> 4 for x in r["h"]] for r in df.select("doc_id", F.transform("shingles", lambda s: F.xxhash64(s)).alias("h")).collect()}
-    for k, sig in got.items():
-        assert sig == [min((a * x + b) % prepare.PRIME for x in hashes[k]) for a, b in prepare.coefficients(16)]
+    """By the vectorised form and by whole numbers, also of hashes and factors at the ends of their range."""
+    hashes = {1: [0, 1, (1 << 60) - 1, 123456789012345678], 2: list(range(5, 3000, 7))}
+    df = spark.createDataFrame(list(hashes.items()), "doc_id long, hashes array<long>")
+    got = {r["doc_id"]: r["signature"] for r in prepare.signatures(df).collect()}
+    assert got == {k: [min((a * x + b) % prepare.PRIME for x in own) for a, b in prepare.coefficients()] for k, own in hashes.items()}
+
+
+def test_bands_find_near_sets(spark):
+    """At least 0.9 of pairs just above the threshold share a band (by its design nearly all), and few far below do."""
+    rng = random.Random(4)
+    rows, pairs = [], {}
+    for share in (0.5, 0.86, 0.9, 0.95):
+        for _ in range(60):
+            n = rng.randrange(80, 400)
+            same = round(2 * n * share / (1 + share))
+            whole = [rng.getrandbits(60) for _ in range(2 * n - same)]
+            u = len(rows)
+            rows += [(u, sorted(whole[:n])), (u + 1, sorted(whole[n - same :]))]
+            pairs.setdefault(share, set()).add((u, u + 1))
+    found = {tuple(r) for r in prepare.candidates(spark.createDataFrame(rows, "doc_id long, hashes array<long>")).collect()}
+    hit = {share: len(own & found) / len(own) for share, own in pairs.items()}
+    assert min(hit[s] for s in (0.86, 0.9, 0.95)) >= 0.9 and hit[0.5] < 0.5
+
+
+def test_near_edges_join_what_the_first_of_a_group_misses(spark):
+    """Chains of near copies whose first document is far from the last; brute force over all pairs."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(6):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        for step in range(8):
+            texts.append(" ".join(words))
+            for _ in range(1 + step % 2):
+                words[rng.randrange(120)] = f"w{rng.randrange(10**6)}"
+    texts += [texts[0], "", "a b", None, "a b"]
+    sets = []
+    for t in texts:
+        tk = (t or "").split()
+        sets.append({" ".join(tk[i : i + 5]) for i in range(len(tk) - 4)} if len(tk) > 4 else {"short " + " ".join(tk)})
+    label = list(range(len(texts)))
+    for _ in texts:
+        label = [min(label[j] for j in range(len(texts)) if 100 * len(sets[i] & sets[j]) > 85 * len(sets[i] | sets[j])) for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["label"] for r in prepare.labelled(docs.select(F.col("doc_id").alias("id")), prepare.near_edges(docs)).collect()}
+    assert got == dict(enumerate(label))
 
 
 def test_components_of_a_long_chain(spark):
