@@ -130,7 +130,8 @@ def f9_removal_filter(spark, d):
 def signed_sql(sets: str, key: str = "doc_id") -> str:
     """``key, i, m``: the minima of the affine maps, from a table of ``key, sh``."""
     bits = "('0x' || substr(md5({0}), 1, 15))::bigint"
-    return f"(select {key}, i, min((a * x + b) % {P}::hugeint)::bigint m from (select {key}, {bits.format('unnest(sh)')}::hugeint x from {sets}) cross join (select i, (1 + {bits.format(chr(39) + 'a' + chr(39) + ' || i')})::hugeint a, {bits.format(chr(39) + 'b' + chr(39) + ' || i')}::hugeint b from range({prepare.COMPONENTS}) t(i)) group by {key}, i)"
+    folded = f"((a * x + b) & {P}::hugeint) + ((a * x + b) >> 61)"  # modulo 2^61-1, but for one subtraction
+    return f"(select {key}, i, min((case when {folded} >= {P} then {folded} - {P} else {folded} end)::bigint) m from (select {key}, {bits.format('unnest(sh)')}::hugeint x from {sets}) cross join (select i, (1 + {bits.format(chr(39) + 'a' + chr(39) + ' || i')})::hugeint a, {bits.format(chr(39) + 'b' + chr(39) + ' || i')}::hugeint b from range({prepare.COMPONENTS}) t(i)) group by {key}, i)"
 
 
 def banded_sql(sets: str, key: str = "doc_id") -> str:
