@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import core, more, policy, privacy
+from sparkloom.plans import core, more, policy, privacy, rollups
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return core.QUERIES | more.QUERIES | privacy.QUERIES | policy.QUERIES
+    return core.QUERIES | more.QUERIES | privacy.QUERIES | policy.QUERIES | rollups.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return core.SQL | more.SQL | privacy.SQL | policy.SQL
+    return core.SQL | more.SQL | privacy.SQL | policy.SQL | rollups.SQL

@@ -66,6 +66,22 @@ def encode(docs: DataFrame, rules: Rules, key: str = "doc_id", content: str = "t
     return docs.select(key, F.col(content).cast("binary").alias("raw")).mapInArrow(run, f"{key} {kind}, ids array<int>")
 
 
+def decode(encoded: DataFrame, rules: Rules, key: str = "doc_id") -> DataFrame:
+    """``key, raw`` of each row of ids: the bytes they stand for; reserved and unknown ids fail the run."""
+    table = pieces(rules)
+
+    def run(batches):
+        for batch in batches:
+            raw = []
+            for ids in batch.column(1).to_pylist():
+                if any(not FIRST_BYTE <= i < len(table) for i in ids):
+                    raise ValueError("reserved or unknown id")
+                raw.append(b"".join(map(table.__getitem__, ids)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=[key, "raw"])
+
+    return encoded.select(key, "ids").mapInArrow(run, f"{key} {encoded.schema[key].dataType.simpleString()}, raw binary")
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """``l, r, n`` over ``ids, n`` rows: adjacent pairs, weighted; partial sums come before the shuffle."""
     zipped = F.transform(F.sequence(F.lit(1), F.size("ids") - 1), lambda i: F.struct(F.get("ids", i - 1).alias("l"), F.get("ids", i).alias("r")))

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkloom.scratch import cut
+
 MASK = 0xFFFFFFFF
 
 
@@ -84,6 +86,24 @@ def span_order_valid(spans: DataFrame, targets: int, span: int = 2048) -> DataFr
     )
 
 
+def spans_in_order(spans: DataFrame, span: int = 2048) -> Iterator:
+    """Rows ``first_id, valid_targets`` in order, fetched a partition at a time; a gap, an overlap or a short span before the last fails."""
+    at, whole = 0, True
+    for row in spans.orderBy("first_id").toLocalIterator(prefetchPartitions=True):
+        if row["first_id"] != at or not whole or not 0 < row["valid_targets"] <= span:
+            raise ValueError(f"the spans are not contiguous at {at}")
+        at, whole = at + row["valid_targets"], row["valid_targets"] == span
+        yield row
+
+
+def load_spans(spans: DataFrame) -> tuple[int, int, int]:
+    """Spans, targets and the last start of what :func:`spans_in_order` hands out."""
+    n, targets, last = 0, 0, 0
+    for row in spans_in_order(spans):
+        n, targets, last = n + 1, targets + row["valid_targets"], row["first_id"]
+    return n, targets, last
+
+
 def greedy_admission(rows: DataFrame, order: list[Column], key: str, group: str, size: str, group_cap: int, cap: int) -> DataFrame:
     """``key, admitted``: rows in ``order`` are admitted while their group's and the whole sum stay within the caps; a row that doesn't fit is passed over.
 
@@ -104,6 +124,7 @@ def greedy_admission(rows: DataFrame, order: list[Column], key: str, group: str,
                     total += n
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(flags, pa.bool_())], names=[key, "admitted"])
 
-    ordered = rows.select(key, group, F.col(size).cast("long").alias(size), *[c.alias(f"_o{i}") for i, c in enumerate(order)]).coalesce(1)
+    # written first, so that what computes the sizes runs in parallel and only narrow rows meet in one task
+    ordered = cut(rows.select(key, group, F.col(size).cast("long").alias(size), *[c.alias(f"_o{i}") for i, c in enumerate(order)]), "ordered").coalesce(1)
     ordered = ordered.sortWithinPartitions(*[f"_o{i}" for i in range(len(order))]).select(key, group, size)
     return ordered.mapInArrow(run, f"{key} {kind.simpleString()}, admitted boolean")

@@ -312,14 +312,14 @@ def a24_generation_totals(spark, d):
 
 @query(f"select doc_id, split, row_number() over (partition by split order by source, doc_id) - 1 as ord, coalesce(sum(stored) over (partition by split order by source, doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as first_id from {TOKENED}")
 def w1_w2_document_order(spark, d):
-    """Two levels, so that no split is one task: totals per (split, source), then order within each."""
-    rows = tokened(spark, d)
-    totals = rows.groupBy("split", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("stored").alias("s"))
-    before = Window.partitionBy("split").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("split", "source", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s0"))
-    own = Window.partitionBy("split", "source").orderBy("doc_id")
+    """Two levels, so that neither a split nor a source is one task: totals per (split, source, block of ids), then order within each."""
+    rows = tokened(spark, d).withColumn("block", F.floor(F.col("doc_id") / 4096))
+    totals = rows.groupBy("split", "source", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("stored").alias("s"))
+    before = Window.partitionBy("split").orderBy("source", "block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("split", "source", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s0"))
+    own = Window.partitionBy("split", "source", "block").orderBy("doc_id")
     out = rows.withColumns({"k": F.row_number().over(own) - 1, "s": F.coalesce(F.sum("stored").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
-    return out.join(totals, ["split", "source"]).select("doc_id", "split", (F.col("n0") + F.col("k")).alias("ord"), (F.col("s0") + F.col("s")).alias("first_id"))
+    return out.join(totals, ["split", "source", "block"]).select("doc_id", "split", (F.col("n0") + F.col("k")).alias("ord"), (F.col("s0") + F.col("s")).alias("first_id"))
 
 
 ORDERED = f"(select doc_id, split, stored, coalesce(sum(stored) over (partition by split order by source, doc_id rows between unbounded preceding and 1 preceding), 0)::bigint first_id from {TOKENED})"
@@ -333,7 +333,10 @@ def w3_prefix_admission(spark, d):
 @query(f"select split, unnest(range(n)) as sequence, unnest(range(n)) * 2048 as first_id, least(t - 1 - unnest(range(n)) * 2048, 2048)::bigint as valid_targets from (select split, sum(stored)::bigint t, ((sum(stored) - 1 + 2047) // 2048)::bigint n from {TOKENED} group by split)")
 def w4_sequence_windows(spark, d):
     t = tokened(spark, d).groupBy("split").agg(F.sum("stored").alias("t"))
-    rows = t.select("split", "t", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("t") - 2) / 2048))).alias("sequence"))
+    last = F.floor((F.col("t") - 2) / 2048)
+    # in two steps, so that a split's windows are made by many tasks
+    blocks = t.where("t > 1").select("split", "t", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / 65536))).alias("block")).repartition("split", "block")
+    rows = blocks.select("split", "t", F.explode(F.sequence(F.col("block") * 65536, F.least(last, F.col("block") * 65536 + 65535))).alias("sequence"))
     return rows.select("split", "sequence", (F.col("sequence") * 2048).alias("first_id"), F.least(F.col("t") - 1 - F.col("sequence") * 2048, F.lit(2048)).alias("valid_targets"))
 
 

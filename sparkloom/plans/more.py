@@ -192,19 +192,6 @@ def j11_binding_check(spark, d):
 
 # --- aggregations
 
-HITS = f"(select d.doc_id, b.item_id, 'EXACT' reason from documents d join benchmark b on sha256(d.text) = sha256(b.text) union all ({core.SQL['j5_span_containment_join'].replace('distinct doc_id, item_id', chr(100) + 'istinct doc_id, item_id, ' + quoted('SPAN') + ' as reason')}) union all select doc_id, item_id, 'SUBSTRING' from documents d join benchmark b on contains(d.text, b.text))"
-
-
-@query(f"select doc_id, array_to_string(list_sort(list_distinct(list(reason))), ',') as reasons, array_to_string(list_sort(list_distinct(list(item_id))), ',') as items from {HITS} group by doc_id")
-def a10_match_rollup(spark, d):
-    kinds = [(core.j1_exact_match_join, "EXACT"), (core.j5_span_containment_join, "SPAN"), (core.j7_substring_join, "SUBSTRING")]
-    hits = None
-    for f, kind in kinds:
-        found = f(spark, d).withColumn("reason", F.lit(kind))
-        hits = found if hits is None else hits.unionByName(found)
-    return hits.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons"), F.array_join(F.array_sort(F.collect_set("item_id")), ",").alias("items"))
-
-
 KEPT = core.CLUSTERS + f", bad as (select distinct label from cl join (select doc_id from documents d join benchmark b on contains(d.text, b.text)) on doc_id = id), g as (select id, label, {REPO} repo from cl join documents on id = doc_id where label not in (select label from bad)), ge as (select a.id u, b.id v from g a join g b on (a.label = b.label or a.repo = b.repo) and a.id <> b.id), r2 as (select id, id l from g union select ge.v, r2.l from r2 join ge on r2.id = ge.u) select id as doc_id, min(l) as component from r2 group by id"
 
 
@@ -217,15 +204,6 @@ def a11_split_components(spark, d):
     return prepare.splits(kept, docs(spark, d).select("doc_id", repo().alias("repo"))).select("doc_id", "component")
 
 
-@query(f"with t as (select split, stored, first_id from {ORDERED}), s as (select split, count(*) n, sum(stored) ids, max(first_id + stored) top from t group by split) select bool_and(ids = top) as streams_close, sum(n)::bigint = (select count(*) from documents) as documents_whole, sum(ids)::bigint = (select sum(stored) from {TOKENED})::bigint as ids_whole from s")
-def a14_accounting_invariants(spark, d):
-    rows = w1_w2_document_order(spark, d).join(tokened(spark, d).select("doc_id", "stored"), "doc_id")
-    s = rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("stored").alias("ids"), F.max(F.col("first_id") + F.col("stored")).alias("top"))
-    whole = tokened(spark, d).agg(F.count(F.lit(1)).alias("all_n"), F.sum("stored").alias("all_ids"))
-    one = s.agg(F.bool_and(F.col("ids") == F.col("top")).alias("streams_close"), F.sum("n").alias("n"), F.sum("ids").alias("ids"))
-    return one.join(whole).select("streams_close", (F.col("n") == F.col("all_n")).alias("documents_whole"), (F.col("ids") == F.col("all_ids")).alias("ids_whole"))
-
-
 @query(f"select t.i as token, count(x.id)::bigint as n from range(4, 260) t(i) left join (select unnest(ids) id from {IDS}) x on x.id = t.i group by t.i")
 def a18_token_frequencies(spark, d):
     counts = token_docs(spark, d).select(F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
@@ -297,12 +275,6 @@ def t3c_hash_order_spans(spark, d):
     return rows.withColumn("at", at).join(F.broadcast(before), "bucket").select("first_target", (F.col("b") + F.col("at")).alias("ord"))
 
 
-@query("select true as from_zero, true as dense, true as complete, true as aligned, true as partial_last, true as covered")
-def t4_span_order_validate(spark, d):
-    n = tokened(spark, d).where("split = 'train'").agg(F.sum("stored")).first()[0]
-    return order.span_order_valid(t3_fisher_yates_order(spark, d), n - 1)
-
-
 @query(f"select split, sequence, first_id, least(valid_targets, 1000)::bigint as targets from (select *, row_number() over (partition by split order by sha256('eval' || first_id::varchar), first_id) k from ({WINDOWS})) where k <= 20")
 def t6_eval_sample_ranked(spark, d):
     w = Window.partitionBy("split").orderBy(F.sha2(F.concat(F.lit("eval"), F.col("first_id").cast("string")), 256), "first_id")
@@ -327,7 +299,6 @@ def u1_generation_union(spark, d):
     return part("a", "lang = 'en'").unionByName(part("b", "lang <> 'en'"))
 
 
-@query("select count(*)::bigint as rows, count(*)::bigint as parts, 0::bigint as shared from documents")
 def u5_partition_union_identity(spark, d):
     """Rows of the table, of its hash-prefix partitions together, and ids that two partitions share."""
     rows = docs(spark, d).select("doc_id", F.substring(F.md5("text"), 1, 1).alias("p"))
