@@ -10,7 +10,7 @@ from sparkloom.functions.hashing import lp
 from sparkloom.operators import bpe, order, prepare, text
 from sparkloom.plans import core
 from sparkloom.plans.core import ORDERED, PREP, TOKENED, docs, lp_sql, quoted, tokened, w1_w2_document_order
-from sparkloom.plans.tables import REPO, TOKENS, repo, table
+from sparkloom.plans.tables import PROTECTED, REPO, TOKENS, protected, repo, table
 from sparkloom.sources import files, sinks
 
 QUERIES: dict = {}
@@ -139,7 +139,7 @@ def banded_sql(sets: str, key: str = "doc_id") -> str:
     return f"(select {key}, band, ('0x' || substr(sha256(band::varchar || ':' || string_agg(m::varchar, ':' order by i)), 1, 15))::bigint as key from (select *, (i // {prepare.ROWS})::int band from {signed_sql(sets, key)}) group by {key}, band)"
 
 
-ITEMS = f"(select item_id, {core.SHINGLES} sh from (select item_id, {TOKENS} tk from benchmark))"
+ITEMS = f"(select item_id, {core.SHINGLES} sh from (select item_id, {TOKENS} tk from {PROTECTED}))"
 
 
 @query(f"select doc_id, count(*)::int as n, md5(string_agg(m::varchar, ',' order by i)) as digest from {signed_sql(PREP)} group by doc_id")
@@ -162,9 +162,9 @@ def j2_lsh_self_join(spark, d):
 
 @query(f"select distinct a.doc_id, b.item_id from {banded_sql(PREP)} a join {banded_sql(ITEMS, 'item_id')} b using (band, key)")
 def j2b_lsh_bench_join(spark, d):
-    items = prepare.hashed(table(spark, d, "benchmark"), "item_id")
-    protected = prepare.bands(prepare.signatures(items, key="item_id"), key="item_id")
-    return a4_lsh_band_keys(spark, d).join(protected, ["band", "key"]).select("doc_id", "item_id").distinct()
+    items = prepare.hashed(protected(spark, d), "item_id")
+    keys = prepare.bands(prepare.signatures(items, key="item_id"), key="item_id")
+    return a4_lsh_band_keys(spark, d).join(keys, ["band", "key"]).select("doc_id", "item_id").distinct()
 
 
 @query(f"with f as {core.FIRSTS}, k as {banded_sql('f')} select u, v, len(list_intersect(a.sh, b.sh))::int as common, (100 * len(list_intersect(a.sh, b.sh)) > 85 * (len(a.sh) + len(b.sh) - len(list_intersect(a.sh, b.sh)))) as near from (select distinct a.doc_id u, b.doc_id v from k a join k b using (band, key) where a.doc_id < b.doc_id) join f a on a.doc_id = u join f b on b.doc_id = v")
@@ -175,9 +175,9 @@ def a5_jaccard(spark, d):
     return found.select("u", "v", "common", (100 * F.col("common") > 85 * (F.col("sizes") - F.col("common"))).alias("near"))
 
 
-@query(f"select d.doc_id, b.item_id from (select doc_id, {TOKENS} tk from documents) d join (select item_id, {TOKENS} tk from benchmark) b on d.tk = b.tk where len(b.tk) < 50")
+@query(f"select d.doc_id, b.item_id from (select doc_id, {TOKENS} tk from documents) d join (select item_id, {TOKENS} tk from {PROTECTED}) b on d.tk = b.tk where len(b.tk) < 50")
 def j6_short_sequence_join(spark, d):
-    b = table(spark, d, "benchmark").select("item_id", tk_of().alias("bt")).where(F.size("bt") < 50).select("item_id", "bt", F.xxhash64("bt").alias("h"))
+    b = protected(spark, d).select("item_id", tk_of().alias("bt")).where(F.size("bt") < 50).select("item_id", "bt", F.xxhash64("bt").alias("h"))
     rows = docs(spark, d).select("doc_id", tk_of().alias("dt")).where(F.size("dt") < 50).withColumn("h", F.xxhash64("dt"))
     return rows.join(b, "h").where(F.col("dt") == F.col("bt")).select("doc_id", "item_id")
 

@@ -2,8 +2,8 @@
 
 A document's lines become comments, every third an assignment; remainders of its
 id decide whether the file fails to parse, says that it is generated (in a
-comment or outside one, in the head or beyond it), and what its last line
-assigns. The SQL knows these from the rule; the operators parse.
+comment or outside one, in the head or beyond it), has more code than comments,
+and what its last line assigns. The SQL knows these from the rule; the operators parse.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ HEADERS = ("", "# Code Generated by a tool, do not touch", "s = 'do not edit'")
 ENDS = ("", "# @generated", "x = = 1")
 CODE_LINES = (
     f"list_concat([{sql_list(HEADERS)}[(doc_id % 3 + 1)::int]], list_transform(string_split({CLEAN}, chr(10)), lambda l, i: case when (i - 1 + doc_id) % 3 = 0 then 'v' || (i - 1)::varchar || ' = 1' else '# ' || l end),"
-    f" [{sql_list(LINES)}[(doc_id % {len(LINES)} + 1)::int], {sql_list(ENDS)}[(doc_id % 4 + 1)::int]])"
+    f" [case when doc_id % 2 = 0 then 'pad = ' || chr(39) || repeat('x', (2 * strlen(coalesce(text, '')) + 100)::int) || chr(39) else '' end, {sql_list(LINES)}[(doc_id % {len(LINES)} + 1)::int], {sql_list(ENDS)}[(doc_id % 4 + 1)::int]])"
 ).replace("[(doc_id % 3 + 1)::int]", "[(case when doc_id % 10 < 7 then 1 when doc_id % 10 = 7 then 2 else 3 end)::int]").replace("[(doc_id % 4 + 1)::int]", "[(case when doc_id % 12 = 5 then 2 when doc_id % 12 = 11 then 3 else 1 end)::int]")
 LINED = f"(select doc_id, lang, source, {CODE_LINES} ls from documents)"
 CODE = f"(select doc_id, lang, source, ls, array_to_string(ls, chr(10)) as text from {LINED})"
@@ -53,7 +53,8 @@ def sources(spark, d) -> DataFrame:
     head = F.when(k % 10 < 7, HEADERS[0]).when(k % 10 == 7, HEADERS[1]).otherwise(HEADERS[2])
     line = F.element_at(F.array(*map(F.lit, LINES)), (k % len(LINES) + 1).cast("int"))
     end = F.when(k % 12 == 5, ENDS[1]).when(k % 12 == 11, ENDS[2]).otherwise(ENDS[0])
-    return table(spark, d, "documents").select("doc_id", "lang", "source", F.array_join(F.concat(F.array(head), body, F.array(line, end)), "\n").alias("code"))
+    pad = F.when(k % 2 == 0, F.concat(F.lit("pad = '"), F.repeat(F.lit("x"), (2 * F.coalesce(F.octet_length("text"), F.lit(0)) + 100).cast("int")), F.lit("'"))).otherwise("")
+    return table(spark, d, "documents").select("doc_id", "lang", "source", F.array_join(F.concat(F.array(head), body, F.array(pad, line, end)), "\n").alias("code"))
 
 
 def parsed(spark, d) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators import bpe, order, prepare, text
 from sparkloom.plans import core, more, policy
-from sparkloom.plans.tables import TOKENS, table
+from sparkloom.plans.tables import TOKENS, protected, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -46,7 +46,7 @@ def a8_representative(spark, d):
 
 
 HITS = (
-    "(select d.doc_id, b.item_id, 'EXACT' reason from documents d join benchmark b on sha256(d.text) = sha256(b.text)"
+    f"(select doc_id, item_id, 'EXACT' reason from ({core.SQL['j1_exact_match_join']})"
     f" union all select doc_id, item_id, 'NEAR' from ({more.SQL['j2b_lsh_bench_join']}) c join {core.PREP} p using (doc_id) join {more.ITEMS} i using (item_id) where 100 * len(list_intersect(p.sh, i.sh)) > 85 * (len(p.sh) + len(i.sh) - len(list_intersect(p.sh, i.sh)))"
     f" union all select *, 'SPAN' from ({core.SQL['j5_span_containment_join']}) union all select *, 'SHORT' from ({more.SQL['j6_short_sequence_join']})"
     " union all select doc_id, item_id, 'SUBSTRING' from documents d join benchmark b on contains(d.text, b.text))"
@@ -56,8 +56,9 @@ HITS = (
 @query(f"select doc_id, array_to_string(list_sort(list_distinct(list(reason))), ',') as reasons, count(distinct item_id)::bigint as items, min(item_id) as first_item from {HITS} group by doc_id")
 def a10_match_rollup(spark, d):
     """The five kinds of matches of each document; a near match is a candidate of the bands whose overlap is above 0.85."""
-    sets = lambda name, key: prepare.hashed(table(spark, d, name), key)
-    pairs = more.j2b_lsh_bench_join(spark, d).join(sets("documents", "doc_id").withColumnRenamed("hashes", "a"), "doc_id").join(sets("benchmark", "item_id").withColumnRenamed("hashes", "b"), "item_id")
+    sets = prepare.hashed(table(spark, d, "documents")).withColumnRenamed("hashes", "a")
+    items = prepare.hashed(protected(spark, d), "item_id").withColumnRenamed("hashes", "b")
+    pairs = more.j2b_lsh_bench_join(spark, d).join(sets, "doc_id").join(items, "item_id")
     common = F.size(F.array_intersect("a", "b"))
     near = pairs.where(100 * common > 85 * (F.size("a") + F.size("b") - common)).select("doc_id", "item_id")
     kinds = [(core.j1_exact_match_join(spark, d), "EXACT"), (near, "NEAR"), (core.j5_span_containment_join(spark, d), "SPAN"), (more.j6_short_sequence_join(spark, d), "SHORT"), (core.j7_substring_join(spark, d), "SUBSTRING")]
