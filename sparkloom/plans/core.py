@@ -190,14 +190,14 @@ RUNS = "(select {0}, unnest(list_transform(range(greatest(len(tk) - {1}, 0)), la
 
 @query(f"select distinct doc_id, item_id from {RUNS.format('doc_id', 49, 50, TOKENS, 'documents')} join {RUNS.format('item_id', 49, 50, TOKENS, 'benchmark')} using (run)")
 def j5_span_containment_join(spark, d):
-    def runs(df, key):
-        tk = text.lexical_tokens(text.newline_normalize(F.col("text")))
-        rows = df.select(key, tk.alias("tk")).where(F.size("tk") >= 50)
-        joined = rows.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("tk") - 49), lambda i: F.xxhash64(F.array_join(F.slice("tk", i, 50), " ")))).alias("h"))
-        return joined
-
-    protected = runs(table(spark, d, "benchmark"), "item_id").distinct()
-    return runs(docs(spark, d), "doc_id").join(protected, "h").select("doc_id", "item_id").distinct()
+    """Runs of 50 tokens meet by hash; then the runs themselves decide."""
+    tokens = lambda df, key: df.select(key, text.lexical_tokens(text.newline_normalize(F.col("text"))).alias("tk")).where(F.size("tk") >= 50)
+    runs = lambda tk: F.transform(F.sequence(F.lit(1), F.size(tk) - 49), lambda i: F.array_join(F.slice(tk, i, 50), " "))
+    hashes = lambda rows, key: rows.select(key, F.explode(F.transform(runs("tk"), lambda r: F.xxhash64(r))).alias("h"))
+    own, items = tokens(docs(spark, d), "doc_id"), tokens(table(spark, d, "benchmark"), "item_id")
+    met = hashes(own, "doc_id").join(hashes(items, "item_id").distinct(), "h").select("doc_id", "item_id").distinct()
+    pairs = met.join(own, "doc_id").join(items.withColumnRenamed("tk", "item"), "item_id")
+    return pairs.where(F.arrays_overlap(runs("tk"), runs("item"))).select("doc_id", "item_id")
 
 
 #: The words 2 to 7 of an item have a space on both sides if the item has an eighth.

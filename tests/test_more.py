@@ -105,7 +105,7 @@ def test_python_facts():
     assert python_code.parses("x = 1\n") and not python_code.parses("x = = 1") and not python_code.parses("print 'x'")
     assert python_code.fragment("return 1") == [("return", "return"), ("number", "1")]
     assert python_code.fragment("x = = 1") == []
-    assert python_code.comment_bytes("# é\nx = 1  # b\n") == 7
+    assert python_code.comments("# é\nx = 1  # b\n") == [{"start": 0, "end": 4}, {"start": 12, "end": 15}]
     assert python_code.tree_digest("x=1") == python_code.tree_digest("x = 1 # c")
 
 
