@@ -62,9 +62,9 @@ def k3_sharded_manifest_sink(spark, d):
 
 @query(f"select doc_id, part::bigint as part, ordinal::bigint as ordinal from {PARTED}")
 def s6a_j12_index_part_join(spark, d):
-    """Rows of the parts that agree with the index in number."""
+    """Rows of the parts that agree with the index in number and digest."""
     rows = parted(spark, d)
-    index = sinks.sharded_manifest(rows).select("part", "rows")
+    index = sinks.sharded_manifest(rows).select("part", "rows", "sha256")
     return files.sharded_manifest_scan(index, rows).select("doc_id", "part", F.col("ordinal").cast("long").alias("ordinal"))
 
 

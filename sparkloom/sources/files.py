@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import json
 import urllib.error
 import urllib.request
 from urllib.parse import urljoin, urlsplit
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from sparkloom.functions.strict_json import Number, Refused, canonical, parse
 from sparkloom.operators.text import is_portable_path
+from sparkloom.sources.sinks import sharded_manifest
 
 
 def discover(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -79,17 +81,33 @@ def jsonl_scan(spark: SparkSession, path: str, sha256: str | None = None) -> Dat
 
 
 def manifest_scan(spark: SparkSession, path: str, schema: T.StructType | str, sha256: str | None = None, limit: int = 64 << 20) -> DataFrame:
-    """Rows of a closed JSON control file: known columns only, bounded size, bound digest."""
+    """Rows of a closed JSON control file: bounded size, bound digest; a key that the schema lacks, at any depth, is refused."""
     found = discover(spark, path).collect()
     if not found or any(r["bytes"] > limit for r in found) or (sha256 and [r["sha256"] for r in found] != [sha256]):
         raise ValueError("the control file is absent, too long or another one")
+    known = spark.createDataFrame([], schema).schema
+    for row in spark.read.text(path, wholetext=True).toLocalIterator():
+        value = json.loads(row["value"])
+        if any(_beyond(v, known) for v in (value if isinstance(value, list) else [value])):
+            raise ValueError("the control file has keys that its schema lacks")
     return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", "true").json(path)
 
 
+def _beyond(value: object, kind: T.DataType) -> bool:
+    """Whether a parsed value has a key that its type lacks."""
+    if isinstance(kind, T.StructType) and isinstance(value, dict):
+        return bool(value.keys() - set(kind.names)) or any(_beyond(value[f.name], f.dataType) for f in kind.fields if f.name in value)
+    return isinstance(kind, T.ArrayType) and isinstance(value, list) and any(_beyond(v, kind.elementType) for v in value)
+
+
 def sharded_manifest_scan(index: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows of ``parts`` (part, ordinal, ...) in the order that ``index`` (part, rows) states; a missing, unknown or short part fails the read."""
+    """Rows of ``parts`` (part, ordinal, ...) in the order that ``index`` (part, rows) states; a missing, unknown or short part fails the read, and so does one whose lines have another digest where the index has ``sha256``."""
     held = parts.groupBy("part").agg(F.count(F.lit(1)).alias("held"))
-    wrong = index.join(held, "part", "full_outer").where(~F.col("rows").eqNullSafe(F.col("held")))
+    same = F.col("rows").eqNullSafe(F.col("held"))
+    if "sha256" in index.columns:
+        held = sharded_manifest(parts).select("part", F.col("rows").alias("held"), F.col("sha256").alias("found"))
+        same = same & F.col("sha256").eqNullSafe(F.col("found"))
+    wrong = index.join(held, "part", "full_outer").where(~same)
     if not wrong.isEmpty():
         raise ValueError("parts and index differ")
     return parts.orderBy("part", "ordinal")

@@ -148,6 +148,11 @@ def test_jsonl_and_manifests(spark, tmp_path):
     assert files.manifest_scan(spark, str(plan), "a int").first()["a"] == 1
     with pytest.raises(ValueError):
         files.manifest_scan(spark, str(plan), "a int", "0" * 64)
+    plan.write_text('{"a": 1, "b": [{"c": 2, "d": 3}]}')
+    assert files.manifest_scan(spark, str(plan), "a int, b array<struct<c: int, d: int>>").first()["a"] == 1
+    for less in ("a int", "a int, b array<struct<c: int>>"):
+        with pytest.raises(ValueError, match="keys"):
+            files.manifest_scan(spark, str(plan), less)
     raw = spark.createDataFrame([(1, gzip.compress(b"abc")), (2, gzip.compress(b"abcd")), (3, b"no"), (4, None)], "k int, b binary")
     assert {r["k"]: r["v"] and bytes(r["v"]) for r in raw.select("k", files.gunzip(3)("b").alias("v")).collect()} == {1: b"abc", 2: None, 3: None, 4: None}
 
@@ -159,6 +164,8 @@ def test_parts_must_agree_with_the_index(spark):
     assert [r["id"] for r in files.sharded_manifest_scan(index, rows).collect()] == list(range(10))
     with pytest.raises(ValueError):
         files.sharded_manifest_scan(index, rows.where("id <> 4"))
+    with pytest.raises(ValueError):
+        files.sharded_manifest_scan(index, rows.withColumn("line", F.when(F.col("id") == 4, "x").otherwise(F.col("line"))))
 
 
 def test_publish_once(spark, tmp_path):
