@@ -398,6 +398,19 @@ def test_top_k_matches_brute_force(spark):
     assert balltree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_top_k_meets_a_bundle_of_shards_at_once(spark, monkeypatch):
+    """A query's hits in a cell of eight shards are its k best of them all; small trees and samples hold the same rows."""
+    made, cut = [], balltree.cut
+    monkeypatch.setattr(balltree, "cut", lambda df, name="cut": made.append((name, cut(df, name))) or made[-1][1])
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 50)
+    monkeypatch.setattr(balltree, "SAMPLE_BYTES", 8 * 8 * 40, raising=False)
+    w = np.random.default_rng(6).integers(-90, 90, size=(400, 8))
+    got = balltree.top_k(spark.createDataFrame([(i, [x / 64 for x in r]) for i, r in enumerate(w.tolist())], "vec_id long, embedding array<double>"))
+    want = [(q, k + 1, c, -s) for q in range(0, 400, 20) for k, (s, c) in enumerate(sorted((-int(w[q] @ w[c]), c) for c in range(400) if c != q)[:20])]
+    assert sorted(map(tuple, got.collect())) == want
+    assert sum(t.count() for name, t in made if name == "hits") == len(want)
+
+
 @pytest.mark.parametrize("cell_rows", [balltree.CELL_ROWS, 40])
 def test_top_k_counts_every_row(spark, monkeypatch, cell_rows):
     """Repeated ids and rows, vectors whose products leave the range of a long, other lengths, and clusters that cells can skip; extra columns clash."""
